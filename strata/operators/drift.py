@@ -42,8 +42,8 @@ def psi(
 
     counts = binned(base, "b").join(binned(current, "c"), ["column", "bin"], "full")
     totals = {w: df.agg(F.count(F.lit(1)).cast("double")).scalar() for w, df in (("b", base), ("c", current))}
-    p = F.greatest(F.coalesce("b", F.lit(0)) / totals["b"], F.lit(epsilon))
-    q = F.greatest(F.coalesce("c", F.lit(0)) / totals["c"], F.lit(epsilon))
+    share = lambda w: F.try_divide(F.coalesce(w, F.lit(0)).cast("double"), totals[w])
+    p, q = (F.greatest(share(w), F.lit(epsilon)) for w in ("b", "c"))
     return counts.groupBy("column").agg(F.sum((p - q) * F.log(p / q)).alias("psi"))
 
 

@@ -292,7 +292,7 @@ def wssse(df: DataFrame, cluster: str = "cluster", vector: str = "features") ->
         .groupBy("cluster", "dim")
         .agg(F.sum("x").alias("s"), F.sum(F.col("x") * F.col("x")).alias("q"), F.count("x").alias("n"))
     )
-    return sums.agg(F.sum(F.col("q") - F.col("s") * F.col("s") / F.col("n")).alias("wssse"))
+    return sums.agg(F.sum(F.col("q") - F.try_divide(F.col("s") * F.col("s"), F.col("n"))).alias("wssse"))
 
 
 def cluster_profile(df: DataFrame, cluster: str, cols: Sequence[str]) -> DataFrame:

@@ -12,16 +12,17 @@ def bucket_index(df: DataFrame, value: str, bounds: Column, n_bounds: int, out:
     """Add ``out`` = number of ``bounds`` (an ascending array) below ``value``, by halving.
 
     ``n_bounds`` must be one less than a power of two.  Each halving is its own projection,
-    so the lookups stay inside generated code and are never written out twice.
+    so the lookups stay inside generated code and are never written out twice; the array is
+    a column of the first one, so a subquery behind it runs once.
     """
     step = (n_bounds + 1) // 2
-    df = df.withColumn(out, F.lit(0))
+    df = df.withColumns({"__bounds": bounds, out: F.lit(0)})
     while step >= 1:
         pos = F.col(out)
-        above = F.col(value) > F.get(bounds, pos + F.lit(step - 1))
+        above = F.col(value) > F.get("__bounds", pos + F.lit(step - 1))
         df = df.withColumn(out, F.when(above, pos + F.lit(step)).otherwise(pos))
         step //= 2
-    return df
+    return df.drop("__bounds")
 
 
 def running_totals(

@@ -192,6 +192,16 @@ def tail_outliers(
     return _per_column(df, stats)
 
 
+def _pearson(a: str, b: str) -> Column:
+    """Pearson r over rows where both are present; NULL when either is constant there.
+
+    Built from moments because ``corr`` divides by zero on a constant column in ANSI mode.
+    """
+    x, y = F.col(a).cast("double"), F.col(b).cast("double")
+    spread = F.sqrt(F.var_pop(F.when(y.isNotNull(), x)) * F.var_pop(F.when(x.isNotNull(), y)))
+    return F.try_divide(F.covar_pop(x, y), spread)
+
+
 def correlation(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of every ordered pair, rows with a NULL dropped pairwise.
 
@@ -202,11 +212,7 @@ def correlation(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     parts = []
     for i in range(0, len(pairs), EXPRESSIONS_PER_PASS):
         rows = [
-            F.struct(
-                F.lit(a).alias("a"),
-                F.lit(b).alias("b"),
-                F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias("r"),
-            )
+            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), _pearson(a, b).alias("r"))
             for a, b in pairs[i : i + EXPRESSIONS_PER_PASS]
         ]
         parts.append(df.agg(F.array(*rows).alias("rows")).select(F.inline("rows")))
@@ -225,8 +231,8 @@ def auto_bins(df: DataFrame, col: str, accuracy: int | None = None) -> int:
         F.count(v).alias("n"), (F.max(v) - F.min(v)).alias("span")
     ).select(
         "span",
-        (F.col("span") / (F.log2("n") + 1)).alias("sturges"),
-        (F.lit(2.0 * ((q3 or 0.0) - (q1 or 0.0))) / F.cbrt("n")).alias("fd"),
+        F.try_divide(F.col("span"), F.log2("n") + 1).alias("sturges"),
+        F.try_divide(F.lit(2.0 * ((q3 or 0.0) - (q1 or 0.0))), F.cbrt("n")).alias("fd"),
     ).first()
     if not row["span"]:
         return 1

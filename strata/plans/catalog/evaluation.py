@@ -50,8 +50,10 @@ sc AS (SELECT {lead}CAST({score} AS DOUBLE) AS score, CAST(sum(label) AS DOUBLE)
               CAST(sum(1 - label) AS DOUBLE) AS neg FROM {source} GROUP BY ALL),
 curve AS (SELECT *, sum(pos) OVER ({part}ORDER BY score DESC) AS tp, sum(neg) OVER ({part}ORDER BY score DESC) AS fp,
                  sum(pos) OVER ({part}) AS p, sum(neg) OVER ({part}) AS n FROM sc),
-area AS (SELECT {lead}round(sum(neg * (tp - pos / 2)) / (max(p) * max(n)), 8) AS auc,
-                round(sum(pos * tp / (tp + fp)) / max(p), 8) AS pr_auc FROM curve{group})"""
+area AS (SELECT {lead}
+           CASE WHEN max(p) > 0 AND max(n) > 0 THEN round(sum(neg * (tp - pos / 2)) / (max(p) * max(n)), 8) END AS auc,
+           CASE WHEN max(p) > 0 AND max(n) > 0 THEN round(sum(pos * tp / (tp + fp)) / max(p), 8) END AS pr_auc
+         FROM curve{group})"""
 
 
 def _r8(df, *cols):
@@ -160,9 +162,8 @@ def pr_curve(spark, sf):
     + ","
     + curve_sql("docs", "score", "lang")
     + """
-SELECT lang, metric, value FROM (
-  UNPIVOT (SELECT bm.*, auc, pr_auc FROM bm JOIN area ON bm.lang = area.lang)
-  ON accuracy, precision, recall, f1, auc, pr_auc INTO NAME metric VALUE value)"""
+SELECT lang, metric, value FROM (SELECT bm.*, auc, pr_auc FROM bm JOIN area ON bm.lang = area.lang)
+UNPIVOT INCLUDE NULLS (value FOR metric IN (accuracy, precision, recall, f1, auc, pr_auc))"""
 )
 def metric_set(spark, sf):
     return _r8(evaluate.metric_set(scored_documents(spark, sf), by="lang"), "value")

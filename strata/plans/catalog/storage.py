@@ -28,7 +28,7 @@ def csv_parts(spark, sf):
     """Many CSV files with a declared schema; the part files win over an archive."""
     path = scratch_path(spark, "orders-csv")
     write_table(_orders(spark, sf), path, format="csv", files=4, max_records=2_000)
-    return read_table(spark, resolve_source(spark, f"{path}/part-*.csv", []), _SCHEMA, format="csv")
+    return read_table(spark, resolve_source(spark, f"{path}/part-*.csv", [], min_parts=1), _SCHEMA, format="csv")
 
 
 @query(_ORDERS)
