@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -10,13 +12,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 
+_NON_ASCII = re.compile(r"[^\x00-\x7F]+")
+
+
+@lru_cache(maxsize=65_536)
+def _without_marks(run: str) -> str:
+    return "".join(ch for ch in run if not unicodedata.combining(ch))
+
+
+def _fold(text: str) -> str:
+    """Only the runs outside ASCII, mostly single marks after decomposition, are looked at."""
+    return _NON_ASCII.sub(lambda run: _without_marks(run[0]), unicodedata.normalize("NFKD", text)).lower()
+
+
 @F.pandas_udf(StringType())
 def _decompose_and_lower(texts: pd.Series) -> pd.Series:
-    decomposed = texts.str.normalize("NFKD")
-    return decomposed.map(
-        lambda t: "".join(ch for ch in t if not unicodedata.combining(ch)).lower(),
-        na_action="ignore",
-    )
+    return texts.map(_fold, na_action="ignore")
 
 
 def fold_text(col: str | Column) -> Column:

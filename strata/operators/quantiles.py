@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from strata.runtime import as_list
 
@@ -16,10 +17,10 @@ COLUMNS_PER_PASS = 50
 _RESULT = "`column` string, p double, quantile double"
 
 
-def _clean(c: str) -> Column:
-    """Quantiles ignore NULL and NaN."""
+def _clean(df: DataFrame, c: str) -> Column:
+    """The column as DOUBLE; quantiles ignore NULL and NaN."""
     v = F.col(c).cast("double")
-    return F.when(~F.isnan(v), v)
+    return F.when(~F.isnan(v), v) if isinstance(df.schema[c].dataType, (DoubleType, FloatType)) else v
 
 
 def _sketch(df: DataFrame, cols: Sequence[str], points: Sequence[float], accuracy: int) -> dict:
@@ -29,8 +30,8 @@ def _sketch(df: DataFrame, cols: Sequence[str], points: Sequence[float], accurac
         row = df.agg(
             *[
                 F.struct(
-                    F.count(_clean(c)).alias("n"),
-                    F.percentile_approx(_clean(c), list(points), accuracy).alias("at"),
+                    F.count(c).alias("n"),
+                    F.percentile_approx(c, list(points), accuracy).alias("at"),
                 ).alias(f"c{j}")
                 for j, c in enumerate(part)
             ]
@@ -49,21 +50,37 @@ def _ranks(n: int, p: float, interpolate: bool) -> tuple[int, int, float]:
     return low, min(low + 1, n - 1), at - low
 
 
-def _counts_around(df: DataFrame, bounds: dict[str, list[float]]) -> dict[str, list[tuple[int, int]]]:
-    """Per column and bound: rows below it and rows up to it, in one aggregate without a key."""
-    out: dict = {}
+def _locate(v: Column, bounds: Sequence[float], leaf: Callable[[int], Column]) -> Column:
+    """Where a value stands among ascending ``bounds``, as a decision tree.
+
+    Position 2i is the open interval below ``bounds[i]``, 2i + 1 the bound itself.  A value
+    is compared about log2(bounds) times and the generated code stays small.
+    """
+
+    def node(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return leaf(2 * lo)
+        mid = (lo + hi) // 2
+        below, above = node(lo, mid), node(mid + 1, hi)
+        return F.when(v < bounds[mid], below).when(v > bounds[mid], above).otherwise(leaf(2 * mid + 1))
+
+    return F.when(v.isNotNull(), node(0, len(bounds)))
+
+
+def _counts_by_position(df: DataFrame, bounds: dict[str, list[float]]) -> dict[str, dict[int, int]]:
+    """Rows per column and position among its bounds, in one pass over all columns."""
     cols = list(bounds)
-    for i in range(0, len(cols), COLUMNS_PER_PASS):
-        part = cols[i : i + COLUMNS_PER_PASS]
-        exprs = []
-        for c in part:
-            pairs = [
-                F.struct(F.count_if(_clean(c) < b).alias("lt"), F.count_if(_clean(c) <= b).alias("le"))
-                for b in bounds[c]
-            ]
-            exprs.append(F.array(*pairs))
-        row = df.agg(*exprs).first()
-        out.update({c: [(x["lt"], x["le"]) for x in row[j]] for j, c in enumerate(part)})
+    rows = (
+        df.select(*[_locate(F.col(c), bounds[c], F.lit).alias(c) for c in cols])
+        .unpivot([], cols, "column", "at")
+        .filter(F.col("at").isNotNull())
+        .groupBy("column", "at")
+        .count()
+        .collect()
+    )
+    out: dict = {c: {} for c in cols}
+    for r in rows:
+        out[r["column"]][r["at"]] = r["count"]
     return out
 
 
@@ -79,12 +96,12 @@ def quantiles(
     ``accuracy=None`` is exact and works by narrowing rather than by sorting:
 
     1. one pass sketches, per column, an interval that should hold each wanted rank;
-    2. one pass counts the rows below and up to each interval end;
+    2. one pass counts the rows at and between the interval ends;
     3. only the rows of the interval that really holds the rank are shuffled, as counts
        per distinct value.  Ranks that hit an interval end need no third pass.
 
     The counts of step 2 are exact, so a poor sketch makes step 3 larger, never wrong.
-    What reaches the driver is two numbers per interval end.  With an integer the sketch
+    What reaches the driver is two counts per interval end.  With an integer the sketch
     itself is the answer (rank error at most 1/accuracy), in one pass.
 
     ``interpolate`` averages the two neighbouring values; otherwise the value at the
@@ -92,7 +109,7 @@ def quantiles(
     """
     cols = as_list(cols)
     spark = df.sparkSession
-    df = df.select(*cols)
+    df = df.select(*[_clean(df, c).alias(c) for c in cols])
     if accuracy is not None:
         found = _sketch(df, cols, ps, accuracy)
         rows = [(c, float(p), found[c][1][i] if found[c][0] else None) for c in cols for i, p in enumerate(ps)]
@@ -101,13 +118,12 @@ def quantiles(
     margin = 2.0 / SKETCH_ACCURACY
     points = [q for p in ps for q in (max(p - margin, 0.0), min(p + margin, 1.0))]
     found = _sketch(df, cols, points, SKETCH_ACCURACY)
-    filled = [c for c in cols if found[c][0]]
-    bounds = {c: sorted(set(found[c][1])) for c in filled}
-    counts = _counts_around(df, bounds) if filled else {}
+    bounds = {c: sorted(set(found[c][1])) for c in cols if found[c][0]}
+    counts = _counts_by_position(df, bounds) if bounds else {}
 
     known: list[tuple] = []      # column, p, is_upper, weight, value
     wanted: list[tuple] = []     # column, p, is_upper, weight, interval, rank inside it
-    intervals: dict[tuple, int] = {}
+    intervals: dict[tuple[str, int], int] = {}
     for c in cols:
         n = found[c][0]
         for p in ps:
@@ -116,25 +132,23 @@ def quantiles(
                 continue
             low, high, weight = _ranks(n, p, interpolate)
             for rank, is_upper in ((low, False), (high, True)):
-                below, lower = 0, None
-                for bound, (lt, le) in zip(bounds[c], counts[c]):
-                    if lt <= rank < le:
-                        known.append((c, float(p), is_upper, weight, bound))
-                        break
-                    if rank < lt:
-                        where = intervals.setdefault((c, lower, bound), len(intervals))
-                        wanted.append((c, float(p), is_upper, weight, where, rank - below))
+                side = (c, float(p), is_upper, weight)
+                before = 0
+                for at in sorted(counts[c]):
+                    if rank < before + counts[c][at]:
                         break
-                    below, lower = le, bound
+                    before += counts[c][at]
+                if at % 2:
+                    known.append((*side, bounds[c][at // 2]))
                 else:
-                    where = intervals.setdefault((c, lower, None), len(intervals))
-                    wanted.append((c, float(p), is_upper, weight, where, rank - below))
+                    where = intervals.setdefault((c, at), len(intervals))
+                    wanted.append((*side, where, rank - before))
 
     ends = spark.createDataFrame(
         known, "`column` string, p double, is_upper boolean, weight double, value double"
     )
     if wanted:
-        ends = ends.unionByName(_pick(df, intervals, wanted))
+        ends = ends.unionByName(_pick(df, bounds, intervals, wanted))
     at = lambda upper: F.max(F.when(F.col("is_upper") == upper, F.col("value")))
     return (
         ends.groupBy("column", "p")
@@ -143,20 +157,18 @@ def quantiles(
     )
 
 
-def _pick(df: DataFrame, intervals: dict[tuple, int], wanted: list[tuple]) -> DataFrame:
+def _pick(
+    df: DataFrame, bounds: dict[str, list[float]], intervals: dict[tuple[str, int], int], wanted: list[tuple]
+) -> DataFrame:
     """Values at given ranks inside given open intervals."""
-    inside = []
-    for (c, lower, upper), where in intervals.items():
-        v = _clean(c)
-        cond = v.isNotNull()
-        if lower is not None:
-            cond &= v > lower
-        if upper is not None:
-            cond &= v < upper
-        inside.append(F.when(cond, F.struct(F.lit(where).alias("interval"), v.alias("value"))))
+    hits = []
+    for c in dict.fromkeys(c for c, _ in intervals):
+        leaf = lambda at, c=c: F.lit(intervals.get((c, at))).cast("int")
+        hits.append((_locate(F.col(c), bounds[c], leaf), F.col(c)))
     counts = (
-        df.select(F.explode(F.array_compact(F.array(*inside))).alias("hit"))
-        .select("hit.*")
+        df.filter(F.coalesce(*[where for where, _ in hits]).isNotNull())
+        .select(F.inline(F.array(*[F.struct(w.alias("interval"), v.alias("value")) for w, v in hits])))
+        .filter(F.col("interval").isNotNull())
         .groupBy("interval", "value")
         .count()
     )
