@@ -47,7 +47,7 @@ def psi(
     return counts.groupBy("column").agg(F.sum((p - q) * F.log(p / q)).alias("psi"))
 
 
-def ks(base: DataFrame, current: DataFrame, cols: str | Sequence[str], buckets: int = 256) -> DataFrame:
+def ks(base: DataFrame, current: DataFrame, cols: str | Sequence[str], buckets: int | None = None) -> DataFrame:
     """(column, ks): largest distance between the two empirical distribution functions."""
     cols = as_list(cols)
 

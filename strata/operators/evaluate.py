@@ -120,7 +120,7 @@ def score_curve(
     score: str,
     by: str | Sequence[str] = (),
     positive: int = 1,
-    buckets: int = 256,
+    buckets: int | None = None,
 ) -> DataFrame:
     """(by, score, pos, neg, tp, fp): true and false positives when everything at or above
     ``score`` is called positive."""
@@ -134,7 +134,7 @@ def score_curve(
 
 
 def ranking_metrics(
-    df: DataFrame, label: str, score: str, by: str | Sequence[str] = (), positive: int = 1, buckets: int = 256
+    df: DataFrame, label: str, score: str, by: str | Sequence[str] = (), positive: int = 1, buckets: int | None = None
 ) -> DataFrame:
     """(by, auc, pr_auc): ROC area with ties counted half, and average precision.
 
@@ -179,7 +179,7 @@ def _with_totals(curve: DataFrame, totals: DataFrame, by: list[str]) -> DataFram
 
 
 def roc_curve(
-    df: DataFrame, label: str, score: str, by: str | Sequence[str] = (), positive: int = 1, buckets: int = 256
+    df: DataFrame, label: str, score: str, by: str | Sequence[str] = (), positive: int = 1, buckets: int | None = None
 ) -> DataFrame:
     """(by, threshold, fpr, tpr) per distinct score, plus the start (infinity, 0, 0)."""
     by = as_list(by)
@@ -200,7 +200,7 @@ def roc_curve(
 
 
 def pr_curve(
-    df: DataFrame, label: str, score: str, by: str | Sequence[str] = (), positive: int = 1, buckets: int = 256
+    df: DataFrame, label: str, score: str, by: str | Sequence[str] = (), positive: int = 1, buckets: int | None = None
 ) -> DataFrame:
     """(by, threshold, precision, recall) per distinct score, plus the end (NULL, 1, 0)."""
     by = as_list(by)

@@ -22,6 +22,11 @@ def remainder(df: DataFrame, part: DataFrame, key: str | Sequence[str] | None =
     return df.join(taken, same, "left_anti")
 
 
+def row_difference(df: DataFrame, other: DataFrame) -> DataFrame:
+    """Multiset difference: each row of ``other`` takes away one equal row (NULL equals NULL)."""
+    return df.exceptAll(other)
+
+
 def union_by_name(*frames: DataFrame) -> DataFrame:
     """All rows of all frames, matched by column name; absent columns are NULL."""
     out = frames[0]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -25,13 +25,19 @@ def bucket_index(df: DataFrame, value: str, bounds: Column, n_bounds: int, out:
     return df.drop("__bounds")
 
 
+def default_buckets(spark: SparkSession) -> int:
+    """A power of two, about twice the session's shuffle partitions: more on a larger cluster."""
+    wanted = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(max(1 << (wanted - 1).bit_length(), 16), 4096)
+
+
 def running_totals(
     df: DataFrame,
     order: str,
     sums: Sequence[str],
     by: Sequence[str] = (),
     descending: bool = False,
-    buckets: int = 256,
+    buckets: int | None = None,
     prefix: str = "cum_",
 ) -> DataFrame:
     """Inclusive running sum of each of ``sums`` along ``order``, per group of ``by``.
@@ -43,6 +49,7 @@ def running_totals(
     same sums.  ``buckets`` must be a power of two.
     """
     by = list(by)
+    buckets = buckets or default_buckets(df.sparkSession)
     n_bounds = buckets - 1
     points = [i / buckets for i in range(1, buckets)]
     bounds = df.agg(F.percentile_approx(order, points, max(1000, 4 * buckets))).scalar()

@@ -13,7 +13,7 @@ from strata.operators import evaluate, features, models, sampling
 from strata.plans import clustering, training
 from strata.plans.catalog.registry import query
 from strata.plans.loan_view import LABEL_SOURCES, loan_view, table
-from strata.runtime import scratch_path
+from strata.runtime import pin, scratch_path
 from strata.sources import load_model, save_model, write_table
 from strata.streaming import read_stream, score_stream
 
@@ -41,7 +41,7 @@ def _fit_and_evaluate(spark, sf, name, grid=None, folds=3, **params):
     try:
         model = training.train_one(data, name, grid, folds, **params)
         # Metric rows are few; stored, they outlive the persisted frames.
-        return training.evaluate_one(data, model, name).checkpoint()
+        return pin(training.evaluate_one(data, model, name))
     finally:
         data.release()
 
@@ -84,7 +84,18 @@ def best_params(spark, sf):
     data = prepared(spark, sf)
     try:
         model = training.train_one(data, "RandomForest", SMALL_GRID, folds=2)
-        return models.best_params(data.train, model, list(SMALL_GRID)).checkpoint()
+        return pin(models.best_params(data.train, model, list(SMALL_GRID)))
+    finally:
+        data.release()
+
+
+@query()
+def train_and_compare(spark, sf):
+    """Several models trained, logged and stored; the comparison with the winner marked."""
+    data = prepared(spark, sf)
+    specs = {"DecisionTree": {}, "LogisticRegression": {"maxIter": 5}}
+    try:
+        return training.train_all(data, specs, scratch_path(spark, "log"), scratch_path(spark, "models"))
     finally:
         data.release()
 
@@ -102,7 +113,7 @@ def kfold_scores(spark, sf):
     folded = sampling.stratified_kfolds(_complete(spark, sf), ["grade", "loan_status"], 3, 42, KEY).persist()
     try:
         gbt = models.classifier("GBT", LABEL, maxIter=3, maxDepth=3)
-        return models.kfold_scores(folded, _stages(gbt), 3, LABEL).checkpoint()
+        return pin(models.kfold_scores(folded, _stages(gbt), 3, LABEL))
     finally:
         folded.unpersist()
 
@@ -113,7 +124,7 @@ def learning_curve(spark, sf):
     try:
         train, val = sampling.split_by_sample(rows, 0.2, 7, KEY)
         forest = models.classifier("RandomForest", LABEL, numTrees=5, maxDepth=3)
-        return models.learning_curve(train, val, _stages(forest), [0.1, 0.5, 1.0], LABEL, KEY).checkpoint()
+        return pin(models.learning_curve(train, val, _stages(forest), [0.1, 0.5, 1.0], LABEL, KEY))
     finally:
         rows.unpersist()
 

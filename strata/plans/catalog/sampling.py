@@ -177,6 +177,17 @@ def remainder_by_key(spark, sf):
     return left.groupBy("c_mktsegment", F.col("nation").alias("c_nationkey")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    """
+SELECT l_returnflag, l_linestatus, l_quantity FROM lineitem
+EXCEPT ALL SELECT l_returnflag, l_linestatus, l_quantity FROM lineitem WHERE l_discount < 0.03"""
+)
+def row_difference(spark, sf):
+    lines = table(spark, sf, "lineitem")
+    cols = ["l_returnflag", "l_linestatus", "l_quantity"]
+    return joins.row_difference(lines.select(*cols), lines.filter(F.col("l_discount") < 0.03).select(*cols))
+
+
 @query(
     """
 SELECT o_orderkey, CASE WHEN year(o_orderdate) BETWEEN 1995 AND 1998 THEN 'train'

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,13 +61,19 @@ def typed(df: DataFrame, roles: LoanRoles) -> DataFrame:
 
 
 def learn(df: DataFrame, roles: LoanRoles = LoanRoles(), accuracy: int | None = None) -> CleaningStats:
-    """Medians of the parsed numbers, then clip bounds of the imputed ones."""
-    rows = typed(df, roles)
-    numeric = roles.present(rows, roles.numeric)
-    medians = {c: v[0] for c, v in quantile_map(rows, numeric, [0.5], accuracy).items()}
-    clipped = roles.present(rows, roles.clipped)
-    imputed = clean.impute_median(rows, numeric, medians=medians)
-    return CleaningStats(medians, quantile_map(imputed, clipped, [0.01, 0.99], accuracy))
+    """Medians of the parsed numbers, then clip bounds of the imputed ones.
+
+    The numbers are parsed once and kept (spilling to disk) while the passes run.
+    """
+    numeric = roles.present(df, roles.numeric)
+    clipped = roles.present(df, roles.clipped)
+    rows = typed(df, roles).select(*numeric).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        medians = {c: v[0] for c, v in quantile_map(rows, numeric, [0.5], accuracy).items()}
+        imputed = clean.impute_median(rows, numeric, medians=medians)
+        return CleaningStats(medians, quantile_map(imputed, clipped, [0.01, 0.99], accuracy))
+    finally:
+        rows.unpersist()
 
 
 def apply(df: DataFrame, stats: CleaningStats, roles: LoanRoles = LoanRoles()) -> DataFrame:

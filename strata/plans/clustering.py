@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame
 
@@ -27,8 +28,13 @@ def fit_segments(
     """
     numeric, categorical = derive.feature_columns(df, "", as_list(exclude))
     full = features.complete_features(df, numeric, categorical)
-    if categorical:
-        features.check_cardinality(full, categorical)
     stages = features.encoder_stages(numeric, categorical, scale=scale)
     make = models.kmeans if method == "kmeans" else models.gaussian_mixture
-    return Pipeline(stages=[*stages, make(k, seed=seed, **kw)]).fit(full), full
+    # Every stage of the fit reads the rows again.
+    held = full.select(*numeric, *categorical).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if categorical:
+            features.check_cardinality(held, categorical)
+        return Pipeline(stages=[*stages, make(k, seed=seed, **kw)]).fit(held), full
+    finally:
+        held.unpersist()

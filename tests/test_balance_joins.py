@@ -47,6 +47,12 @@ def test_remainder_treats_null_as_equal(spark):
     assert sorted(r["k"] for r in joins.remainder(df, part, "k").collect()) == [1, 3, 3]
 
 
+def test_row_difference_counts_copies(spark):
+    a = spark.createDataFrame([(1,), (1,), (None,), (2,)], "k int")
+    b = spark.createDataFrame([(1,), (None,)], "k int")
+    assert sorted(r["k"] for r in joins.row_difference(a, b).collect()) == [1, 2]
+
+
 def test_union_and_distinct(spark):
     a = spark.createDataFrame([(1, "x")], "k int, v string")
     b = spark.createDataFrame([(2,), (2,)], "k int")

@@ -86,6 +86,14 @@ def test_grid_search_reports_its_best_setting(data):
     assert got == {"maxDepth": 5.0, "numTrees": 3.0}
 
 
+def test_all_models_are_logged_stored_and_compared(spark, data):
+    log, stored = scratch_path(spark, "log"), scratch_path(spark, "stored")
+    specs = {"DecisionTree": {"maxDepth": 1}, "RandomForest": {"numTrees": 5}}
+    rows = {r["model"]: r for r in training.train_all(data, specs, log, stored).collect()}
+    assert set(rows) == set(specs) and [m for m in rows if rows[m]["best"]] == ["RandomForest"]
+    assert load_model(f"{stored}/RandomForest").stages[-1].getNumTrees == 5
+
+
 def test_folds_of_ours_drive_the_search(rows):
     full = features.complete_features(rows, ["x", "y"], ["grade"])
     folded = sampling.stratified_kfolds(full, "label", 2, 1, "id")
