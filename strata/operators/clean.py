@@ -10,7 +10,7 @@ from pyspark.sql.types import NumericType, StringType
 
 from strata.functions import parse, text
 from strata.operators.quantiles import quantile_map
-from strata.runtime import as_list, pin
+from strata.runtime import as_list, attach, pin
 
 TOP_K_BROADCAST = 100_000
 
@@ -117,13 +117,13 @@ def top_k_categories(
 ) -> DataFrame:
     """Keep the k most frequent values of each column; everything else becomes ``other``."""
     cols = as_list(cols)
-    kept = pin(top_values(df, cols, k).select("column", "value"))
+    kept = pin(top_values(df, cols, k).select("column", "value", F.col("n").alias("__n")))
     out = df
     for c in cols:
         mine = kept.filter(F.col("column") == c).select(
-            F.col("value").alias(c), F.col("value").alias("__kept")
+            F.col("value").alias(c), F.col("value").alias("__kept"), "__n"
         )
-        if k <= TOP_K_BROADCAST:
-            mine = F.broadcast(mine)
-        out = out.join(mine, c, "left").withColumn(c, F.coalesce("__kept", F.lit(other))).drop("__kept")
+        # k rows at most; a very large k is measured, and its heavy values joined apart.
+        out = out.join(F.broadcast(mine), c, "left") if k <= TOP_K_BROADCAST else attach(out, mine, c, "__n")
+        out = out.withColumn(c, F.coalesce("__kept", F.lit(other))).drop("__kept", "__n")
     return out.select(*df.columns)

@@ -274,7 +274,7 @@ FROM ab"""
 def silhouette_given_labels(spark, sf):
     rows = array_to_features(table(spark, sf, "embeddings"), "embedding", 64)
     value = models.silhouette(rows, "features", "label")
-    return rows.agg(F.round(F.lit(value) + F.lit(0.0) * F.count(F.lit(1)), 6).alias("silhouette"))
+    return spark.range(1).select(F.round(F.lit(value), 6).alias("silhouette"))
 
 
 @query(

@@ -42,26 +42,29 @@ def stratum_counts(spark, sf):
     )
 
 
+# The columns of the orders table with their Spark types and kinds.
+_ORDER_SCHEMA = [
+    ("o_orderkey", "bigint", "numeric"),
+    ("o_custkey", "bigint", "numeric"),
+    ("o_orderstatus", "string", "categorical"),
+    ("o_totalprice", "double", "numeric"),
+    ("o_orderdate", "timestamp_ntz", "other"),
+    ("o_orderpriority", "string", "categorical"),
+]
+
+
 @query(
-    "SELECT * FROM (VALUES "
-    + ", ".join(
-        f"({i}, '{c}', '{t}', '{k}')"
-        for i, (c, t, k) in enumerate(
-            [
-                ("o_orderkey", "bigint", "numeric"),
-                ("o_custkey", "bigint", "numeric"),
-                ("o_orderstatus", "string", "categorical"),
-                ("o_totalprice", "double", "numeric"),
-                ("o_orderdate", "timestamp_ntz", "other"),
-                ("o_orderpriority", "string", "categorical"),
-            ],
-            start=1,
-        )
+    _union(
+        f"""
+SELECT {i} AS position, '{c}' AS "column", '{t}' AS type, '{k}' AS kind,
+       count(*) FILTER ({c} IS NULL) AS n_null FROM orders"""
+        for i, (c, t, k) in enumerate(_ORDER_SCHEMA, start=1)
     )
-    + ') AS t(position, "column", type, kind)'
 )
 def schema_description(spark, sf):
-    return describe_schema(table(spark, sf, "orders"))
+    orders = table(spark, sf, "orders")
+    nulls = profile.null_profile(orders).select("column", "n_null")
+    return describe_schema(orders).join(nulls, "column")
 
 
 @query("SELECT count(*) AS n_rows, CAST(11 AS BIGINT) AS n_columns FROM lineitem")

@@ -38,7 +38,7 @@ def csv_gzip(spark, sf):
     write_table(
         _orders(spark, sf).withColumn("_c0", F.col("o_orderkey")), path, format="csv", files=1, compression="gzip"
     )
-    files = resolve_source(spark, f"{path}/loan_data_*.csv", [f"{path}/none.gz", f"{path}/part-*.csv.gz"])
+    files = resolve_source(spark, f"{path}/absent-*.csv", [f"{path}/none.gz", f"{path}/part-*.csv.gz"])
     raw = drop_if_present(read_table(spark, files, format="csv", partitions=8), ["_c0"])
     return raw.select(
         F.col("o_orderkey").try_cast("bigint").alias("o_orderkey"),

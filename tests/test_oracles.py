@@ -26,6 +26,8 @@ def test_query_equals_oracle(spark, duck, name):
     cols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(cols)
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(cols, cur.fetchall())
+    plan = df._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 def test_entry(spark):
