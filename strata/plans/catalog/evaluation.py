@@ -133,10 +133,10 @@ def average_precision(spark, sf):
     + curve_sql("docs", "score")
     + """
 SELECT CAST('inf' AS DOUBLE) AS threshold, CAST(0 AS DOUBLE) AS fpr, CAST(0 AS DOUBLE) AS tpr
-UNION ALL SELECT score, round(fp / n, 8), round(tp / p, 8) FROM curve"""
+UNION ALL SELECT score, fp / n, tp / p FROM curve"""
 )
 def roc_curve(spark, sf):
-    return _r8(evaluate.roc_curve(scored_documents(spark, sf), "label", "score"), "fpr", "tpr")
+    return evaluate.roc_curve(scored_documents(spark, sf), "label", "score")
 
 
 @query(
@@ -147,11 +147,10 @@ def roc_curve(spark, sf):
     + """
 SELECT DISTINCT l_linestatus, CAST(NULL AS DOUBLE) AS threshold, CAST(1 AS DOUBLE) AS precision, CAST(0 AS DOUBLE) AS recall
 FROM lines UNION ALL
-SELECT l_linestatus, score, round(tp / (tp + fp), 8), round(tp / p, 8) FROM curve"""
+SELECT l_linestatus, score, tp / (tp + fp), tp / p FROM curve"""
 )
 def pr_curve(spark, sf):
-    got = evaluate.pr_curve(scored_lines(spark, sf), "label", "l_extendedprice", by="l_linestatus")
-    return _r8(got, "precision", "recall")
+    return evaluate.pr_curve(scored_lines(spark, sf), "label", "l_extendedprice", by="l_linestatus")
 
 
 @query(
