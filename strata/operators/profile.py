@@ -251,10 +251,12 @@ def histogram(df: DataFrame, col: str, bins: int | str = 20) -> DataFrame:
     ends = df.agg(F.struct(F.min(v).alias("lo"), F.max(v).alias("hi"))).scalar()
     lo = ends.getField("lo")
     width = (ends.getField("hi") - lo) / F.lit(float(bins))
-    index = F.least(F.floor(F.try_divide(v - lo, width)), F.lit(bins - 1).cast("long"))
+    # A constant column has width 0 and falls into the first bin; ``least`` would skip the NULL.
+    place = F.coalesce(F.floor(F.try_divide(v - lo, width)), F.lit(0).cast("long"))
+    index = F.least(place, F.lit(bins - 1).cast("long"))
     counts = (
         df.filter(v.isNotNull())
-        .select(F.coalesce(index, F.lit(0).cast("long")).alias("bin"))
+        .select(index.alias("bin"))
         .groupBy("bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )
