@@ -249,9 +249,20 @@ def histogram(spark, sf):
     return _rounded(profile.histogram(table(spark, sf, "events"), "value", 20), 6, "low", "high")
 
 
-@query()
+@query(
+    """
+WITH e AS (SELECT min(value) AS lo, max(value) AS hi, count(value) AS n,
+                  quantile_cont(value, 0.75) - quantile_cont(value, 0.25) AS iqr FROM events),
+b AS (SELECT lo, hi, CAST(ceil((hi - lo) / least((hi - lo) / (log2(n) + 1), 2 * iqr / cbrt(n))) AS BIGINT) AS bins
+      FROM e),
+c AS (SELECT CAST(least(floor((value - lo) / ((hi - lo) / bins)), bins - 1) AS BIGINT) AS bin, count(*) AS n
+      FROM events, b GROUP BY 1)
+SELECT CAST(g.bin AS INTEGER) AS bin, round(lo + g.bin * ((hi - lo) / bins), 6) AS low,
+       round(lo + (g.bin + 1) * ((hi - lo) / bins), 6) AS high, coalesce(c.n, 0) AS n
+FROM (SELECT lo, hi, bins, unnest(range(bins)) AS bin FROM b) g LEFT JOIN c ON c.bin = g.bin"""
+)
 def histogram_auto(spark, sf):
-    return profile.histogram(table(spark, sf, "events"), "value", "auto")
+    return _rounded(profile.histogram(table(spark, sf, "events"), "value", "auto"), 6, "low", "high")
 
 
 @query(
