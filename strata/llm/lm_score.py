@@ -35,7 +35,7 @@ from strata.runtime import scratch_path
 #: Documents whose crc32(id) has this remainder are not learnt from.
 MODULUS, HELD_OUT = 7, 2
 #: Weight of the unigram model, in observations of a word as a context.
-K = 50.0
+K = 1000.0
 BLOCK_TOKENS = 4_000_000
 SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 _MUL = np.uint64(0x9E3779B97F4A7C15)

@@ -207,11 +207,13 @@ def fit(rows: DataFrame) -> Model:
         value = np.maximum(n - discount, 0) / safe[owner]
         back = np.where(total > 0, discount * kinds / safe, 1.0)
         model.grams.append(_sorted(names, value))
-        model.contexts.append(_sorted(list(contexts), back) if order > 1 else (np.zeros(1, np.uint64), back))
+        model.contexts.append(_sorted(list(contexts), back) if order > 1 else (np.zeros(1, np.uint64), back if len(back) else np.ones((1, 2))))
     return model
 
 
 def _sorted(names: list[str], values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not names:
+        return np.zeros(0, np.uint64), np.zeros((0, 2))
     codes = np.frombuffer("".join(names).encode("utf-32-le"), "<u4").astype(np.uint64).reshape(len(names), -1)
     h = np.zeros(len(names), np.uint64)
     for k in range(codes.shape[1]):
@@ -252,16 +254,16 @@ def _evidence(shared, name: str) -> Evidence:
 
 
 def evidence_of(rows: DataFrame, shared, keep: list[str]) -> DataFrame:
-    """``keep`` columns of ``rows`` and ``evidence``, from their ``text``."""
+    """``keep`` columns of ``rows`` and ``__evidence``, from their ``text``."""
     fields = [rows.schema[c] for c in keep]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", evidence double"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", __evidence double"
     name = uuid.uuid4().hex
 
     def piece(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         scored = _evidence(shared, name).of(batch.column("text").to_pylist())
-        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(scored)], names=[*keep, "evidence"])
+        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(scored)], names=[*keep, "__evidence"])
 
-    return rows.select(*keep, "text").mapInArrow(lambda batches: in_batches(batches, piece), schema)
+    return rows.select(*keep, *[c for c in ["text"] if c not in keep]).mapInArrow(lambda batches: in_batches(batches, piece), schema)
 
 
 def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -288,17 +290,17 @@ def score(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_LABELLED) -> D
     seen = evidence_of(rows.filter("fold = 3"), shared, ["toxic"]).toArrow()
     y = seen.column("toxic").to_numpy().astype(float)
     both = len(y) and 0 < y.sum() < len(y)
-    slope, offset = logistic(seen.column("evidence").to_numpy(), y) if both else (0.0, -30.0)
+    slope, offset = logistic(seen.column("__evidence").to_numpy(), y) if both else (0.0, -30.0)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     scored = evidence_of(texts, shared, ["doc_id"])
-    value = F.lit(0.0) if not both else 1 / (1 + F.exp(-(F.lit(float(slope)) * F.col("evidence") + F.lit(float(offset)))))
+    value = F.lit(0.0) if not both else 1 / (1 + F.exp(-(F.lit(float(slope)) * F.col("__evidence") + F.lit(float(offset)))))
     held = F.coalesce(id_remainder("doc_id", 5) == 0, F.lit(False))
     return scored.select(
         "doc_id",
         held.alias("held_out"),
         value.alias("score"),
         F.when(value >= 0.5, 1).otherwise(0).alias("predicted"),
-        "evidence",
+        F.col("__evidence").alias("evidence"),
     )
 
 
@@ -311,7 +313,7 @@ def clean(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_LABELLED) -> D
     y = seen.column("toxic").to_numpy().astype(float)
     if not (len(y) and 0 < y.sum() < len(y)):
         return docs
-    slope, offset = logistic(seen.column("evidence").to_numpy(), y)
+    slope, offset = logistic(seen.column("__evidence").to_numpy(), y)
     names = docs.columns
     scored = evidence_of(docs.withColumn("text", F.col("text").cast("string")), shared, names)
-    return scored.filter(F.lit(float(slope)) * F.col("evidence") + F.lit(float(offset)) < 0).select(*names)
+    return scored.filter(F.lit(float(slope)) * F.col("__evidence") + F.lit(float(offset)) < 0).select(*names)
