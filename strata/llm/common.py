@@ -44,7 +44,7 @@ def empty_like(spark: SparkSession, schema: str) -> DataFrame:
 class WordHashes(dict):
     """64-bit hashes of words, remembered; emptied when it holds ``limit`` words."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 250_000):
         super().__init__()
         self.limit = limit
 

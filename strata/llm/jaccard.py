@@ -14,7 +14,7 @@ so only these prefixes are joined.
   the rest, and what then still lies in different components is compared pair by pair.  So a
   group of near copies costs pairs in proportion to its size, and no link between two
   components is lost.
-* Equal texts met in one task count once, the others are linked to it.
+* Texts of equal words are found by a 128-bit hash first; one of them stands for all.
 
 Hot shingles are salted by document for the posting lists; their lists are long by
 definition, so pairs across salts are found with the lists that were set aside.
@@ -79,24 +79,6 @@ def shingle_set(hashes: np.ndarray) -> np.ndarray:
     return np.unique(h)
 
 
-class Sets:
-    """Shingle sets of a task's texts; texts whose words equal an earlier one's are told apart."""
-
-    def __init__(self):
-        self.words = WordHashes()
-        self.seen: dict[bytes, int] = {}
-
-    def of(self, text: bytes | None) -> np.ndarray:
-        return shingle_set(self.words.of(words_of(text)))
-
-    def first_of(self, doc_id: int, text: bytes | None) -> int:
-        """The first doc_id of this task with the same words."""
-        key = xxhash.xxh3_128_digest(b" ".join(words_of(text)))
-        if len(self.seen) >= 500_000:
-            self.seen.clear()  # later copies are found by the join itself
-        return self.seen.setdefault(key, doc_id)
-
-
 def ceil_div(a, b: int):
     return -(-a // b)
 
@@ -111,81 +93,78 @@ def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def sizes_and_counts(rows: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """(doc_id, n_shingles) of each row, and the counter of every cell of shingles."""
+    """(doc_id, n_shingles, high, low) of each row, the last two a 128-bit hash of its words; and the counter of every cell of shingles."""
+    names = ["doc_id", "n_shingles", "high", "low", "slice", "cells"]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets, counts = Sets(), np.zeros(CELLS, np.int64)
+        words, counts, seen = WordHashes(), np.zeros(CELLS, np.int64), set()
 
         def piece(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            sizes, found = [], []
+            sizes, keys, found = [], [], []
             for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                s = sets.of(t)
+                split = words_of(t)
+                s = shingle_set(words.of(split))
+                key = xxhash.xxh3_128_digest(b" ".join(split))
                 sizes.append(len(s))
-                if d is not None and sets.first_of(d, t) == d:
+                keys.append(key)
+                if d is not None and key not in seen:  # copies in this task add nothing to the order
+                    if len(seen) >= 200_000:
+                        seen.clear()
+                    seen.add(key)
                     found.append(s)
             if found:
                 counts[:] += np.bincount(cell_of(np.concatenate(found)), minlength=CELLS)
             n = batch.num_rows
+            halves = np.frombuffer(b"".join(keys), "<i8").reshape(n, 2)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
-                names=["doc_id", "n_shingles", "slice", "cells"],
+                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
+                names=names,
             )
 
         yield from in_batches(batches, piece)
         slices, cells = vector_rows(counts)
-        n = len(slices)
-        yield pa.RecordBatch.from_arrays(
-            [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(slices, pa.int32()), pa.array(cells, pa.binary())],
-            names=["doc_id", "n_shingles", "slice", "cells"],
-        )
+        none = pa.nulls(len(slices), pa.int64())
+        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(slices, pa.int32()), pa.array(cells, pa.binary())], names=names)
 
-    both = stored(rows.mapInArrow(measure, "doc_id long, n_shingles long, slice int, cells binary"), "shingle-counts")
+    both = stored(rows.mapInArrow(measure, "doc_id long, n_shingles long, high long, low long, slice int, cells binary"), "shingle-counts")
     counts = summed_vector(both.filter("slice IS NOT NULL").select("slice", "cells"))
-    return both.filter("slice IS NULL").select("doc_id", "n_shingles"), counts
+    return both.filter("slice IS NULL").drop("slice", "cells"), counts
+
+
+def copy_links(sizes: DataFrame) -> DataFrame:
+    """(a, b): documents with the same words as a document of smaller id, linked to the smallest; stored."""
+    known = sizes.filter("doc_id IS NOT NULL AND n_shingles > 0")
+    groups = known.groupBy("high", "low").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("__last")).filter("b < __last")
+    met = known.select(F.col("doc_id").alias("a"), "high", "low").join(groups, ["high", "low"])
+    return stored(met.filter("a <> b").select("a", "b").distinct(), "copies")
 
 
 def prefixes(rows: DataFrame, counts: np.ndarray) -> DataFrame:
-    """(gram, salt, doc_id, n, pos): a document's rarest shingles; gram NULL: doc_id has the same words as document n."""
-    shared = rows.sparkSession.sparkContext.broadcast(counts.astype(np.int64))
+    """(gram, salt, doc_id, n, pos): the rarest shingles of each document."""
+    shared = rows.sparkSession.sparkContext.broadcast(np.minimum(counts, 2**31 - 1).astype(np.int32))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets, table = Sets(), shared.value
+        words, table = WordHashes(), shared.value
 
         def piece(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             grams, salts, ids, ns, poss = [], [], [], [], []
-            copies = []
             for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                if d is None:
-                    continue
-                s = sets.of(t)
+                s = shingle_set(words.of(words_of(t))) if d is not None else ()
                 n = len(s)
                 if n == 0:
                     continue
-                first = sets.first_of(d, t)
-                if first != d:
-                    copies.append((d, first))
-                    continue
                 often = table[cell_of(s)]
                 p = n - ceil_div(NUM * n, DEN) + 1
                 rare = np.lexsort((s, often))[:p]
                 grams.append(s[rare].view(np.int64))
-                salts.append(np.where(often[rare] > SALT_ROWS, d % (1 + often[rare] // SALT_ROWS), -1))
+                salts.append(np.where(often[rare] > SALT_ROWS, d % (1 + often[rare].astype(np.int64) // SALT_ROWS), -1))
                 ids.append(np.full(p, d, np.int64))
                 ns.append(np.full(p, n, np.int64))
-                poss.append(np.arange(p, dtype=np.int64))
-            c = len(copies)
-            cat = lambda parts: np.concatenate([*parts, np.zeros(c, np.int64)])
-            gone = np.zeros(sum(map(len, ids)) + c, bool)
-            gone[len(gone) - c :] = True
-            ids.append(np.array([x[0] for x in copies], np.int64))
-            ns.append(np.array([x[1] for x in copies], np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(cat(grams), mask=gone), pa.array(cat(salts).astype(np.int32)),
-                    pa.array(np.concatenate(ids)), pa.array(np.concatenate(ns)), pa.array(cat(poss).astype(np.int32)),
-                ],
-                names=["gram", "salt", "doc_id", "n", "pos"],
-            )
+                poss.append(np.arange(p, dtype=np.int32))
+            if ids:
+                parts = (grams, salts, ids, ns, poss)
+                columns = [np.concatenate(x).astype(k) for x, k in zip(parts, (np.int64, np.int32, np.int64, np.int64, np.int32))]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["gram", "salt", "doc_id", "n", "pos"])
 
         yield from in_batches(batches, piece)
 
@@ -201,7 +180,7 @@ def passing(n1, p1, n2, p2):
 def candidates(prefix_rows: DataFrame) -> DataFrame:
     """(gram, a, b, n, pos): gram NULL: candidate pair a < b; otherwise document a of a long list."""
     parts = int(prefix_rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = prefix_rows.filter("gram IS NOT NULL").repartition(parts, "gram", "salt").sortWithinPartitions("gram", "salt", "doc_id")
+    dealt = prefix_rows.repartition(parts, "gram", "salt").sortWithinPartitions("gram", "salt", "doc_id")
     columns = ["gram", "salt", "doc_id", "n", "pos"]
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,10 +254,10 @@ def sets_of(rows: DataFrame, ids: DataFrame) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(id_bitmap(ids))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = Sets()
+        words = WordHashes()
 
         def piece(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            got = [sets.of(t).astype("<u8").tobytes() for t in batch.column("text").to_pylist()]
+            got = [shingle_set(words.of(words_of(t))).astype("<u8").tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(got, pa.binary())], names=["doc_id", "grams"])
 
         yield from in_batches(batches, piece)
@@ -363,12 +342,12 @@ def _across(left: DataFrame, right: DataFrame, tested: DataFrame) -> DataFrame:
     return stored(pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
 
 
-def all_links(rows: DataFrame, counts: np.ndarray) -> DataFrame:
+def all_links(rows: DataFrame, sizes: DataFrame, counts: np.ndarray) -> DataFrame:
     """Links (a, b) that connect every component; pairs already in one component are not looked for again."""
-    emitted = prefixes(rows, counts)
-    spread = stored(candidates_and_copies(emitted), "candidates")
-    copies = spread.filter("gram IS NULL AND n = -1").select("a", "b")
-    pairs = spread.filter("gram IS NULL AND n <> -1").select("a", "b").distinct()
+    copies = copy_links(sizes)
+    different = drop_ids(rows, copies.select("a"), "doc_id")
+    spread = stored(candidates(prefixes(different, counts)), "candidates")
+    pairs = spread.filter("gram IS NULL").select("a", "b").distinct()
     tested = verified(rows, pairs)
     links = copies.unionAll(tested.filter("ok").select("a", "b"))
     lists = spread.filter("gram IS NOT NULL").select("gram", "a", "n", "pos")
@@ -394,20 +373,11 @@ def all_links(rows: DataFrame, counts: np.ndarray) -> DataFrame:
     return links
 
 
-def candidates_and_copies(emitted: DataFrame) -> DataFrame:
-    """The candidates, and the links of equal texts (n = -1), from one scan of the texts."""
-    kept = stored(emitted, "prefixes")
-    copies = kept.filter("gram IS NULL").select(
-        F.lit(None).cast("long").alias("gram"), F.col("doc_id").alias("a"), F.col("n").alias("b"), F.lit(-1).cast("long").alias("n"), F.lit(0).cast("long").alias("pos")
-    )
-    return candidates(kept).unionAll(copies)
-
-
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
     rows = _texts(docs, key, text)
     sizes, counts = sizes_and_counts(rows)
-    named = stored(components(all_links(rows, counts)), "components")
+    named = stored(components(all_links(rows, sizes, counts)), "components")
     found = sizes.join(named, "doc_id", "left")
     return found.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
@@ -416,7 +386,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     """``docs`` with one row of each component: the smallest id, and of rows that share it one."""
     rows = _texts(docs, key, text)
     sizes, counts = sizes_and_counts(rows)
-    named = stored(components(all_links(rows, counts)), "components")
+    named = stored(components(all_links(rows, sizes, counts)), "components")
     kept = drop_ids(docs, named.filter("component <> doc_id").select("doc_id"), key)
     again = sizes.filter("doc_id IS NOT NULL AND n_shingles > 0").groupBy("doc_id").count().filter("count > 1").select("doc_id")
     again = stored(again, "repeated-ids")
