@@ -45,18 +45,29 @@ UNIGRAM, BIGRAM, TOTALS = 0, 1, 2
 
 
 def _pack(hashes: np.ndarray, counts: np.ndarray) -> bytes:
+    """Ascending hashes as differences of as many bytes as the largest needs; counts from 255 on apart."""
     wide = counts >= 255
     small = zlib.compress(np.where(wide, 255, counts).astype(np.uint8).tobytes(), 1)
     large = counts[wide].astype("<u8").tobytes()
-    head = np.array([len(hashes), len(small)], "<u8").tobytes()
-    return head + hashes.astype("<u8").tobytes() + small + large
+    base = hashes[:1].astype("<u8")
+    steps = np.diff(hashes).astype("<u8")
+    width = (int(steps.max()).bit_length() + 7) // 8 if len(steps) else 0
+    packed = steps.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+    head = np.array([len(hashes), width, len(small)], "<u8").tobytes()
+    return b"".join([head, base.tobytes(), packed, small, large])
 
 
 def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n, size = (int(x) for x in np.frombuffer(blob, "<u8", 2))
-    hashes = np.frombuffer(blob, "<u8", n, 16)
-    counts = np.frombuffer(zlib.decompress(blob[16 + 8 * n : 16 + 8 * n + size]), np.uint8).astype(np.int64)
-    counts[counts == 255] = np.frombuffer(blob, "<u8", offset=16 + 8 * n + size).astype(np.int64)
+    n, width, size = (int(x) for x in np.frombuffer(blob, "<u8", 3))
+    if n == 0:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    at = 32 + (n - 1) * width
+    steps = np.zeros((n, 8), np.uint8)
+    steps[0] = np.frombuffer(blob, np.uint8, 8, 24)
+    steps[1:, :width] = np.frombuffer(blob, np.uint8, (n - 1) * width, 32).reshape(n - 1, width)
+    hashes = np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64)
+    counts = np.frombuffer(zlib.decompress(blob[at : at + size]), np.uint8).astype(np.int64)
+    counts[counts == 255] = np.frombuffer(blob, "<u8", offset=at + size).astype(np.int64)
     return hashes, counts
 
 
@@ -83,13 +94,14 @@ class Block:
         before[1:] = self.tokens[:-1]
         before[np.cumsum(self.lengths) - self.lengths] = BEGIN
         self.before = before
+        self.words = mixed(self.tokens)  # scrambled, they spread over the buckets in order
         self.bigrams = mixed((mixed(before) ^ self.tokens) * _MUL)
         self.learnt = np.repeat(~np.array(self.held, bool), self.lengths)
         return self
 
     def counts(self, kind: int) -> tuple[np.ndarray, np.ndarray]:
         """Sorted distinct n-grams of all documents, with how often the learnt ones hold them."""
-        grams = self.tokens if kind == UNIGRAM else self.bigrams
+        grams = self.words if kind == UNIGRAM else self.bigrams
         order = np.argsort(grams)
         grams = grams[order]
         first = np.flatnonzero(np.append(True, grams[1:] != grams[:-1]))
@@ -130,13 +142,7 @@ def exchange_counts(rows: DataFrame, folder: str, buckets: int, block_tokens: in
             out = []
             for kind in (UNIGRAM, BIGRAM):
                 grams, counts = block.counts(kind)
-                if kind == UNIGRAM:  # words are hashed for speed; scrambled, they spread over the buckets
-                    place = mixed(grams)
-                    order = np.argsort(place)
-                    grams, counts, place = grams[order], counts[order], place[order]
-                else:
-                    place = grams
-                cuts = np.searchsorted(place >> shift, np.arange(buckets + 1, dtype=np.uint64))
+                cuts = np.searchsorted(grams >> shift, np.arange(buckets + 1, dtype=np.uint64))
                 out += [(kind, i, number, _pack(grams[a:b], counts[a:b])) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
             out.append((TOTALS, number % buckets, number, np.array([block.mark()], "<u8").tobytes()))
             yield _rows(out)
@@ -243,9 +249,9 @@ class Automaton:
         The state reached by a token is its word, so every step of the left-to-right walk is
         known: take the arc of the state before, or its failure arc and the root's arc.
         """
-        seen = _look(self.words, self.c, block.tokens)
+        seen = _look(self.words, self.c, block.words)
         root = (seen + 1) / self.room
-        left = np.where(block.before == BEGIN, self.begins, _look(self.words, self.c, block.before))
+        left = np.where(block.before == BEGIN, self.begins, _look(self.words, self.c, mixed(block.before)))
         arc = _look(self.arcs, self.arc_count, block.bigrams)
         step = np.log10((arc + self.k * root) / (left + self.k))
         return seen, np.log10(root), step

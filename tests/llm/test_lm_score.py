@@ -2,6 +2,7 @@ import math
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from strata.llm import lm_score as L
@@ -58,5 +59,12 @@ def test_distribution_sums_to_one(spark):
             assert r["score"] == pytest.approx(got[r["doc_id"]][6])
 
 
+def test_packing():
+    for values in ([], [7], [3, 2**64 - 1], sorted(range(0, 10**6, 7)), [0, 1, 2**48]):
+        h, c = np.array(values, np.uint64), np.arange(len(values)) % 600
+        got = L._unpack(L._pack(h, c))
+        assert (got[0] == h).all() and (got[1] == c).all()
+
+
 def test_empty_table(spark, odd_documents):
     assert L.score(odd_documents.limit(0)).collect() == []
