@@ -22,6 +22,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -61,20 +62,18 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     full = np.zeros(blocks * BLOCK, np.uint64)
     full[:n] = ids
     grid[:, :BLOCK] = full.reshape(blocks, BLOCK)
-    need = _needed(grid)
     choice = np.zeros((blocks, BLOCK), np.uint8)  # the escape fits always
-    widest = {1: need}
-    span = 1
-    while span < 64:
-        m = widest[span].copy()
-        m[:, :-span] = np.maximum(m[:, :-span], widest[span][:, span:])
-        widest[2 * span] = m
-        span *= 2
+    widest, span = _needed(grid), 1  # most bits among the ``span`` ids from a place on
     for selector in (14, 13, 12, 11, 10, 9, 8, 7, 6, 5, 4, 3, 2, 1, 15):
         count, width = SELECTORS[selector]
-        p = 1 << (count.bit_length() - 1)
-        window = np.maximum(widest[p][:, :BLOCK], widest[p][:, count - p : count - p + BLOCK])
-        choice[window <= width] = selector
+        while 2 * span <= count:
+            wider = widest.copy()
+            np.maximum(widest[:, :-span], widest[:, span:], out=wider[:, :-span])
+            widest, span = wider, 2 * span
+        fits = np.maximum(widest[:, :BLOCK], widest[:, count - span : count - span + BLOCK]) <= width
+        if not fits.any():
+            break  # more ids of fewer bits fit nowhere either
+        choice[fits] = selector
     # all blocks step from word to word together
     at = np.zeros(blocks, np.int64)
     live = np.arange(blocks)
@@ -105,14 +104,17 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     return words, wide, first.astype(np.int64), sizes
 
 
+_BITS = np.array([i.bit_length() for i in range(1 << 16)], np.uint8)
+
+
 def _needed(grid: np.ndarray) -> np.ndarray:
     """Bits that each id takes."""
+    if int(grid.max()) < len(_BITS):
+        return _BITS[grid.astype(np.uint16)]
     need = np.zeros(grid.shape, np.uint8)
-    for width in range(64):
-        above = grid >> np.uint64(width)
-        if not above.any():
-            break
-        need += above > 0
+    for part in range(4):
+        piece = (grid >> np.uint64(16 * part)).astype(np.uint16)
+        need = np.where(piece > 0, _BITS[piece] + np.uint8(16 * part), need)
     return need
 
 
@@ -176,6 +178,14 @@ def read_file(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
 CHUNK = re.compile("[^\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
 
 
+#: What ``str.split`` takes for white space and the vocabulary's tokenizer does not.
+SEPARATORS = re.compile("[\x1c-\x1f]")
+
+
+def chunks(text: str) -> list[str]:
+    return CHUNK.findall(text) if SEPARATORS.search(text) else text.split()
+
+
 class ChunkEncoder:
     """Ids of texts by a tokenizer that never joins characters across white space.
 
@@ -183,7 +193,7 @@ class ChunkEncoder:
     remembered (up to ``limit`` chunks); a text's ids are those of its chunks in order.
     """
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -212,8 +222,8 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str | None], end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of each text, all ids), each text closed by ``end_id``."""
-        split = [CHUNK.findall(t) if t else [] for t in texts]
-        different = {w for words in split for w in words}
+        split = [chunks(t) if t else [] for t in texts]
+        different = set(chain.from_iterable(split))
         fresh = list(different - self.known.keys())
         if fresh and len(self.known) + len(fresh) > self.limit:
             self._reset()
@@ -225,8 +235,11 @@ class ChunkEncoder:
         starts = np.append(self.starts, len(self.ids))
         lengths = np.append(self.lengths, 0 if end_id is None else 1)
         pool = self.ids if end_id is None else np.append(self.ids, np.uint32(end_id))
-        total = sum(map(len, split)) + len(split)
-        index = np.fromiter((i for words in split for i in (*map(get, words), closing)), np.int64, total)
+        listed: list[int] = []
+        for words in split:
+            listed.extend(map(get, words))
+            listed.append(closing)
+        index = np.array(listed, np.int64)
         n = lengths[index]
         ends = np.cumsum(n)
         source = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - n - starts[index], n)
