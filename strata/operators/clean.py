@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from strata.functions import parse, text
-from strata.operators.quantiles import quantile_map
+from strata.operators.quantiles import clean_value, quantile_map
 from strata.runtime import as_list, attach, pin
 
 TOP_K_BROADCAST = 100_000
@@ -58,7 +58,7 @@ def impute_median(
     accuracy: int | None = None,
     medians: Mapping[str, float | None] | None = None,
 ) -> DataFrame:
-    """Fill NULL with the column's median; an all-NULL column is left alone.
+    """Fill NULL and NaN with the column's median; an all-NULL column is left alone.
 
     Pass the ``medians`` learned on the training rows to treat other rows alike.
     """
@@ -66,7 +66,7 @@ def impute_median(
     if medians is None:
         medians = {c: v[0] for c, v in quantile_map(df, cols, [0.5], accuracy).items()}
     known = {c: medians[c] for c in cols if medians.get(c) is not None}
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(v)) for c, v in known.items()})
+    return df.withColumns({c: F.coalesce(clean_value(df, c), F.lit(v)) for c, v in known.items()})
 
 
 def winsorize(
@@ -77,7 +77,7 @@ def winsorize(
     accuracy: int | None = None,
     bounds: Mapping[str, Sequence[float | None]] | None = None,
 ) -> DataFrame:
-    """Clip each column to its [lower, upper] quantiles; NULL stays NULL."""
+    """Clip each column to its [lower, upper] quantiles; NULL stays NULL and NaN stays NaN."""
     cols = as_list(cols)
     if bounds is None:
         bounds = quantile_map(df, cols, [lower, upper], accuracy)
@@ -86,7 +86,7 @@ def winsorize(
         low, high = bounds[c]
         if low is not None:
             v = F.col(c).cast("double")
-            new[c] = F.when(v < low, F.lit(low)).when(v > high, F.lit(high)).otherwise(v)
+            new[c] = F.when(F.isnan(v), v).when(v < low, F.lit(low)).when(v > high, F.lit(high)).otherwise(v)
     return df.withColumns(new)
 
 

@@ -52,7 +52,8 @@ def _violations(df: DataFrame, rule: Rule) -> Column:
 def contract_check(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """(rule, violations): row-wise rules in one aggregate, uniqueness by its key.
 
-    A ``unique`` rule counts surplus rows, after partial counting per key.
+    A ``unique`` rule counts surplus rows, after partial counting per key; as in SQL, keys
+    that hold a NULL are not compared.  No rules give no rows.
     """
     row_rules = [r for r in rules if r.kind != "unique"]
     parts = []
@@ -62,11 +63,14 @@ def contract_check(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     for rule in rules:
         if rule.kind == "unique":
             parts.append(
-                df.groupBy(*as_list(rule.column))
+                df.dropna(subset=as_list(rule.column))
+                .groupBy(*as_list(rule.column))
                 .agg((F.count(F.lit(1)) - 1).alias("surplus"))
                 .agg(F.coalesce(F.sum("surplus"), F.lit(0)).cast("long").alias("violations"))
                 .select(F.lit(rule.name).alias("rule"), "violations")
             )
+    if not parts:
+        return df.sparkSession.createDataFrame([], "rule string, violations long")
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

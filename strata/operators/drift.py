@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.prefix import running_totals
-from strata.operators.quantiles import quantile_map
+from strata.operators.quantiles import clean_value, quantile_map
 from strata.runtime import as_list
 
 
@@ -30,7 +30,7 @@ def psi(
     def binned(df: DataFrame, which: str) -> DataFrame:
         index = {}
         for c in cols:
-            v = F.col(c).cast("double")
+            v = clean_value(df, c)
             above = [F.when(v > e, 1).otherwise(0) for e in edges[c] if e is not None]
             index[c] = F.when(v.isNotNull(), sum(above, F.lit(0))).otherwise(-1)
         return (

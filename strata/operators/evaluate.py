@@ -103,9 +103,9 @@ def weighted_precision(
 def score_counts(
     df: DataFrame, label: str, score: str, by: str | Sequence[str] = (), positive: int = 1
 ) -> DataFrame:
-    """(by, score, pos, neg): labelled, scored rows per distinct score."""
+    """(by, score, pos, neg): labelled, scored rows per distinct score; a NaN score is no score."""
     return (
-        df.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
+        df.filter(F.col(label).isNotNull() & F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
         .groupBy(*as_list(by), F.col(score).cast("double").alias("score"))
         .agg(
             F.count_if(F.col(label) == positive).alias("pos"),

@@ -139,8 +139,17 @@ def pca(df: DataFrame, features: str = "features", k: int = 2, out: str = "pca")
     return Pipeline(stages=stages).fit(df).transform(df).drop("__centred")
 
 
-def array_to_features(df: DataFrame, col: str, width: int, out: str = "features") -> DataFrame:
-    """An ML vector with slot metadata from an array column of known width."""
+def array_to_features(df: DataFrame, col: str, width: int | None = None, out: str = "features") -> DataFrame:
+    """An ML vector with slot metadata from an array column; its width is the longest array's.
+
+    A given ``width`` is checked on every row: an array of another length is an error, never
+    cut or filled.  NULL arrays are an error as well.
+    """
+    if width is None:
+        width = df.agg(F.max(F.size(col))).first()[0] or 0
+    fits = F.coalesce(F.size(col) == width, F.lit(False))
+    wrong = F.concat(F.lit(f"array in {col} is not of {width} elements but of "), F.coalesce(F.size(col).cast("string"), F.lit("NULL")))
+    df = df.withColumn(col, F.when(fits, F.col(col)).otherwise(F.raise_error(wrong)))
     parts = [f"{col}_{i}" for i in range(width)]
     flat = df.withColumns({p: F.get(col, F.lit(i)).cast("double") for i, p in enumerate(parts)})
     return VectorAssembler(inputCols=parts, outputCol=out).transform(flat).drop(*parts)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType
 
-from strata.operators.quantiles import quantile_map
+from strata.operators.quantiles import clean_value, quantile_map
 from strata.runtime import as_list
 
 EXPRESSIONS_PER_PASS = 200
@@ -105,9 +105,15 @@ def scalar_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def _exact_distinct(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Distinct values per column by a two-step group-by: no wide multi-distinct expansion."""
+    """Distinct values per column by a two-step group-by: no wide multi-distinct expansion.
+
+    Values meet as text, which tells all values of integer and decimal columns apart;
+    floating point is cleaned first, so 0.0 and -0.0 are one value and NaN is none.
+    """
+    float_like = {f.name for f in df.schema.fields if isinstance(f.dataType, (DoubleType, FloatType))}
+    text = lambda c: (clean_value(df, c) + F.lit(0.0) if c in float_like else F.col(c)).cast("string")
     return (
-        df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+        df.select(*[text(c).alias(c) for c in cols])
         .unpivot([], list(cols), "column", "value")
         .filter(F.col("value").isNotNull())
         .groupBy("column", "value")
@@ -125,7 +131,7 @@ def numeric_summary(
     medians = quantile_map(df, cols, [0.5], accuracy)
     stats = {}
     for c in cols:
-        v = F.col(c).cast("double")
+        v = clean_value(df, c)
         stats[c] = {
             "n_distinct": F.approx_count_distinct(v),
             "min": F.min(v),
@@ -157,7 +163,7 @@ def iqr_outliers(
     stats = {}
     for c in cols:
         q1, q2, q3 = quartiles[c]
-        v = F.col(c).cast("double")
+        v = clean_value(df, c)
         outside = F.lit(0).cast("long")
         if q1 is not None:
             reach = k * (q3 - q1)
@@ -182,7 +188,7 @@ def tail_outliers(
     stats = {}
     for c in cols:
         low, high = ends[c]
-        v = F.col(c).cast("double")
+        v = clean_value(df, c)
         outside = F.lit(0).cast("long") if low is None else F.count_if((v < low) | (v > high))
         stats[c] = {
             "low": F.lit(low).cast("double"),

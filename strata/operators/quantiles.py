@@ -17,8 +17,8 @@ COLUMNS_PER_PASS = 50
 _RESULT = "`column` string, p double, quantile double"
 
 
-def _clean(df: DataFrame, c: str) -> Column:
-    """The column as DOUBLE; quantiles ignore NULL and NaN."""
+def clean_value(df: DataFrame, c: str) -> Column:
+    """The column as DOUBLE, NULL in place of NaN: both are missing values to every statistic."""
     v = F.col(c).cast("double")
     return F.when(~F.isnan(v), v) if isinstance(df.schema[c].dataType, (DoubleType, FloatType)) else v
 
@@ -109,7 +109,7 @@ def quantiles(
     """
     cols = as_list(cols)
     spark = df.sparkSession
-    df = df.select(*[_clean(df, c).alias(c) for c in cols])
+    df = df.select(*[clean_value(df, c).alias(c) for c in cols])
     if accuracy is not None:
         found = _sketch(df, cols, ps, accuracy)
         rows = [(c, float(p), found[c][1][i] if found[c][0] else None) for c in cols for i, p in enumerate(ps)]
@@ -153,7 +153,12 @@ def quantiles(
     return (
         ends.groupBy("column", "p")
         .agg(at(False).alias("a"), at(True).alias("b"), F.max("weight").alias("w"))
-        .select("column", "p", (F.col("a") + (F.coalesce("b", "a") - F.col("a")) * F.col("w")).alias("quantile"))
+        .select("column", "p", 
+            # without a weight, or between equal ends, no difference is taken: infinity minus infinity is NaN
+            F.when((F.col("w") == 0) | F.col("b").isNull() | (F.col("a") == F.col("b")), F.col("a"))
+            .otherwise(F.col("a") + (F.col("b") - F.col("a")) * F.col("w"))
+            .alias("quantile"),
+        )
     )
 
 

@@ -286,10 +286,13 @@ def temporal_split(
     validation: tuple[int, int],
     test: tuple[int, int],
     out: str = "split",
+    drop_outside: bool = False,
 ) -> DataFrame:
-    """Label rows by year ranges (inclusive); rows outside all ranges are dropped."""
+    """Label rows by year ranges (inclusive); a row outside all ranges or without a
+    date keeps a NULL label, unless ``drop_outside`` removes it."""
     y = F.year(F.col(date_col))
     split = (
         F.when(y.between(*train), "train").when(y.between(*validation), "val").when(y.between(*test), "test")
     )
-    return df.withColumn(out, split).filter(F.col(out).isNotNull())
+    labelled = df.withColumn(out, split)
+    return labelled.filter(F.col(out).isNotNull()) if drop_outside else labelled

@@ -271,7 +271,7 @@ SELECT round(avg(CASE WHEN n = 1 THEN 0 WHEN a < b THEN 1 - a / b WHEN a > b THE
 FROM ab"""
 )
 def silhouette_given_labels(spark, sf):
-    rows = array_to_features(table(spark, sf, "embeddings"), "embedding", 64)
+    rows = array_to_features(table(spark, sf, "embeddings"), "embedding")
     value = models.silhouette(rows, "features", "label")
     return spark.range(1).select(F.round(F.lit(value), 6).alias("silhouette"))
 

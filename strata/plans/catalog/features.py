@@ -80,7 +80,7 @@ def assemble(spark, sf):
 
 @query()
 def pca_2d(spark, sf):
-    rows = features.array_to_features(table(spark, sf, "embeddings"), "embedding", 64)
+    rows = features.array_to_features(table(spark, sf, "embeddings"), "embedding")
     points = vector_to_array("pca")
     return features.pca(rows, k=2).select(
         "vec_id", "label", F.get(points, F.lit(0)).alias("pc1"), F.get(points, F.lit(1)).alias("pc2")

@@ -176,7 +176,7 @@ def gmm_fit(spark, sf):
 
 @query()
 def kmeans_embeddings(spark, sf):
-    rows = features.array_to_features(table(spark, sf, "embeddings"), "embedding", 64)
+    rows = features.array_to_features(table(spark, sf, "embeddings"), "embedding")
     model = Pipeline(stages=[models.kmeans(5)]).fit(rows)
     return models.cluster_quality(model, rows)
 

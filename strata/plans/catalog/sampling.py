@@ -191,8 +191,8 @@ def row_difference(spark, sf):
 @query(
     """
 SELECT o_orderkey, CASE WHEN year(o_orderdate) BETWEEN 1995 AND 1998 THEN 'train'
-                        WHEN year(o_orderdate) = 1999 THEN 'val' ELSE 'test' END AS split
-FROM orders WHERE year(o_orderdate) BETWEEN 1995 AND 2000"""
+                        WHEN year(o_orderdate) = 1999 THEN 'val' WHEN year(o_orderdate) = 2000 THEN 'test' END AS split
+FROM orders"""
 )
 def temporal_split(spark, sf):
     rows = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")

@@ -36,7 +36,7 @@ def csv_gzip(spark, sf):
     """A gzip archive read as text, an unnamed index column dropped, values parsed afterwards."""
     path = scratch_path(spark, "orders-gz")
     write_table(
-        _orders(spark, sf).withColumn("_c0", F.col("o_orderkey")), path, format="csv", files=1, compression="gzip"
+        _orders(spark, sf).withColumn("_c0", F.col("o_orderkey")), path, format="csv", files=4, max_records=2_000, compression="gzip"
     )
     files = resolve_source(spark, f"{path}/absent-*.csv", [f"{path}/none.gz", f"{path}/part-*.csv.gz"])
     raw = drop_if_present(read_table(spark, files, format="csv", partitions=8), ["_c0"])

@@ -32,7 +32,7 @@ def scratch_dir(spark: SparkSession) -> str:
         named = spark.conf.get("spark.checkpoint.dir", None)
         if named:
             sc.setCheckpointDir(named)
-        elif sc.master.startswith("local"):
+        elif sc.master.startswith("local["):
             sc.setCheckpointDir(tempfile.mkdtemp(prefix="strata-"))
         else:
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")

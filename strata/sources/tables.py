@@ -48,7 +48,7 @@ def resolve_source(
     archives: Iterable[str],
     min_parts: int = 3,
 ) -> list[str]:
-    """Part files when at least ``min_parts`` are there, else the first archive that exists.
+    """Part files when at least ``min_parts`` are there, else every file of the first archive pattern that matches any.
 
     Looks through the Hadoop file system layer, so any storage Spark can read will do.
     """
@@ -58,7 +58,7 @@ def resolve_source(
     for archive in archives:
         found = _glob(spark, archive)
         if found:
-            return found[:1]
+            return found
     raise FileNotFoundError(f"fewer than {min_parts} files match {parts_glob} and no archive exists")
 
 

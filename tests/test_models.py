@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
@@ -91,7 +93,10 @@ def test_all_models_are_logged_stored_and_compared(spark, data):
     specs = {"DecisionTree": {"maxDepth": 1}, "RandomForest": {"numTrees": 5}}
     rows = {r["model"]: r for r in training.train_all(data, specs, log, stored).collect()}
     assert set(rows) == set(specs) and [m for m in rows if rows[m]["best"]] == ["RandomForest"]
-    assert load_model(f"{stored}/RandomForest").stages[-1].getNumTrees == 5
+    (forest,) = Path(stored.removeprefix("file:")).glob("RandomForest-*")
+    assert load_model(str(forest)).stages[-1].getNumTrees == 5
+    again = {r["model"]: r for r in training.train_all(data, specs, log, stored).collect()}
+    assert sorted(again) == sorted(rows) and len(list(Path(stored.removeprefix("file:")).glob("RandomForest-*"))) == 2
 
 
 def test_folds_of_ours_drive_the_search(rows):

@@ -77,3 +77,11 @@ def test_loan_cleaning_end_to_end(spark):
     assert rows[None]["credit_age"] is None and rows[None]["term"] == "missing"
     one = apply(df.limit(1), stats, roles).first()
     assert one["loan_amnt"] is not None
+
+
+def test_every_archive_is_read(spark, tmp_path):
+    path = f"{tmp_path}/zipped"
+    write_table(spark.range(5000).selectExpr("id AS k"), path, format="csv", files=3, max_records=500, compression="gzip")
+    found = resolve_source(spark, f"{path}/none-*", [f"{path}/part-*.csv.gz"])
+    assert len(found) > 3
+    assert read_table(spark, found, format="csv").count() == 5000

@@ -1,13 +1,10 @@
 """Plain forms of some operators, as a yardstick for bench.py.
 
-One job per column, one filter and sample per stratum, metrics from a full single-task
-sort: what a direct pandas-minded use of Spark would do on the same tables.
+One job per column, windows over whole strata, metrics from a full single-task sort.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,28 +34,6 @@ def numeric_summary(spark, sf):
     return spark.createDataFrame([tuple(r) for r in rows], "d long, a double, b double, c double, e double, f double")
 
 
-def iqr_outliers(spark, sf):
-    """Quartiles, deviation, outlier count and total: four jobs per column."""
-    events = table(spark, sf, "events")
-    rows = []
-    for c in ("event_id", "user_id", "value"):
-        q1, q3 = events.agg(F.percentile(c, F.array(F.lit(0.25), F.lit(0.75)))).first()[0]
-        sd = events.agg(F.stddev(c)).first()[0]
-        reach = 1.5 * (q3 - q1)
-        n = events.filter((F.col(c) < q1 - reach) | (F.col(c) > q3 + reach)).count()
-        rows.append((c, sd, n, n * 100.0 / events.count()))
-    return spark.createDataFrame(rows, "c string, sd double, n long, pct double")
-
-
-def winsorize_many(spark, sf):
-    """Bounds column after column, each on the result of the last."""
-    df = table(spark, sf, "lineitem")
-    for c in ("l_extendedprice", "l_quantity"):
-        low, high = df.agg(F.percentile(c, F.array(F.lit(0.05), F.lit(0.95)))).first()[0]
-        df = df.withColumn(c, F.when(F.col(c) < low, low).when(F.col(c) > high, high).otherwise(F.col(c)))
-    return df
-
-
 def frequency_all(spark, sf):
     """One group-by job per column."""
     lv = loan_view(spark, sf)
@@ -67,15 +42,6 @@ def frequency_all(spark, sf):
     return spark.createDataFrame(rows, "c string, v string, n long")
 
 
-def stratified_split(spark, sf):
-    """A filter and a random split per stratum, then a union of all parts."""
-    lv = loan_view(spark, sf).withColumn("s", F.concat_ws("_", "grade", "loan_status"))
-    strata = [r[0] for r in lv.select("s").distinct().collect()]
-    parts = [lv.filter(F.col("s") == s).randomSplit([0.8, 0.2], 42) for s in strata]
-    marked = [p.withColumn("is_test", F.lit(i == 1)) for pair in parts for i, p in enumerate(pair)]
-    return reduce(DataFrame.unionByName, marked).select("loan_id", "grade", "loan_status", "is_test")
-
-
 def stratified_kfolds_lines(spark, sf):
     """One window per stratum: the hot stratum is a single task."""
     lines = table(spark, sf, "lineitem")
@@ -98,7 +64,6 @@ def ranking_metrics_continuous(spark, sf):
 NAIVE = {
     f.__name__: f
     for f in (
-        quantiles_exact, numeric_summary, iqr_outliers, winsorize_many, frequency_all, stratified_split,
-        stratified_kfolds_lines, ranking_metrics_continuous,
+        quantiles_exact, numeric_summary, frequency_all, stratified_kfolds_lines, ranking_metrics_continuous,
     )
 }
