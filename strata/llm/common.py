@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -58,6 +59,19 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+_memory: dict[str, object] = {}
+
+
+def worker_memory(name: str, make: Callable[[], object]):
+    """What a Python worker keeps from task to task: one thing at a time, so that stages do not pile up."""
+    if name not in _memory:
+        _memory.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        _memory[name] = make()
+    return _memory[name]
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit values, so that every bit depends on every bit."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

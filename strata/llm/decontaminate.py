@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import in_batches
+from strata.llm.common import in_batches, worker_memory
 
 ERROR_RATE = 0.08
 MIN_CHARS = 24
@@ -163,17 +163,6 @@ def item_blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "tex
         yield block
 
 
-_held: dict[str, Matcher] = {}
-
-
-def _matcher(shared, name: str, rate: float) -> Matcher:
-    """One per Python worker and block."""
-    if name not in _held:
-        _held.clear()
-        _held[name] = Matcher(shared.value, rate)
-    return _held[name]
-
-
 def matches(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, key: str = "doc_id", text: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
     """(doc_id, item_id, errors, budget, position) for every document and item that match; the best place of each pair."""
     spark = docs.sparkSession
@@ -183,7 +172,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, key
         shared, name = spark.sparkContext.broadcast(block), uuid.uuid4().hex
 
         def piece(batch: pa.RecordBatch, shared=shared, name=name) -> Iterator[pa.RecordBatch]:
-            matcher = _matcher(shared, name, rate)
+            matcher = worker_memory(name, lambda: Matcher(shared.value, rate))
             out = [
                 (d, matcher.ids[n], errors, matcher.patterns[n].errors, at)
                 for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())
@@ -205,7 +194,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, text:
         shared, name = spark.sparkContext.broadcast(block), uuid.uuid4().hex
 
         def piece(batch: pa.RecordBatch, shared=shared, name=name) -> Iterator[pa.RecordBatch]:
-            matcher = _matcher(shared, name, rate)
+            matcher = worker_memory(name, lambda: Matcher(shared.value, rate))
             keep = [not (t and matcher.of(folded(t))) for t in batch.column(text).to_pylist()]
             yield batch.filter(pa.array(keep, pa.bool_()))
 

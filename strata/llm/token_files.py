@@ -30,13 +30,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import in_batches, stored
+from strata.llm.common import in_batches, stored, worker_memory
 from strata.llm.store import put
 from strata.runtime import scratch_path
 
 MAGIC = b"S8BTOK01"
 BLOCK = 1024
-FILE_IDS = 3_000_000
+FILE_IDS = 2_000_000
 END_ID = 1
 #: Selector -> (ids in a word, bits of each).  Selector 0 is the escape, 15 a run of zeros.  Fixed values.
 SELECTORS = {
@@ -193,7 +193,7 @@ class ChunkEncoder:
     remembered (up to ``limit`` chunks); a text's ids are those of its chunks in order.
     """
 
-    def __init__(self, path: str, limit: int = 800_000):
+    def __init__(self, path: str, limit: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -210,8 +210,8 @@ class ChunkEncoder:
 
     def _learn(self, fresh: list[str]) -> None:
         got = []
-        for i in range(0, len(fresh), 20_000):
-            got += [e.ids for e in self.tokenizer.encode_batch_fast(fresh[i : i + 20_000], add_special_tokens=False)]
+        for i in range(0, len(fresh), 5_000):
+            got += [e.ids for e in self.tokenizer.encode_batch_fast(fresh[i : i + 5_000], add_special_tokens=False)]
         lengths = np.fromiter(map(len, got), np.int64, len(got))
         flat = np.fromiter((x for ids in got for x in ids), np.uint32, int(lengths.sum()))
         base = len(self.known)
@@ -248,13 +248,9 @@ class ChunkEncoder:
         return per_text, pool[source]
 
 
-_encoders: dict[str, ChunkEncoder] = {}
-
-
 def encoder(path: str) -> ChunkEncoder:
-    if path not in _encoders:
-        _encoders[path] = ChunkEncoder(path)
-    return _encoders[path]
+    """One per Python worker, so that its memory of chunks lasts over tasks."""
+    return worker_memory(f"chunks {path}", lambda: ChunkEncoder(path))
 
 
 def write_tokens(

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import id_remainder, in_batches
+from strata.llm.common import id_remainder, in_batches, worker_memory
 
 ORDER = 6
 #: Orders up to this one are shared by both classes.
@@ -226,7 +226,7 @@ def _sorted(names: list[str], values: np.ndarray) -> tuple[np.ndarray, np.ndarra
 class Evidence:
     """Length-normalised log-likelihood difference; remembers the words it has scored, up to ``limit``."""
 
-    def __init__(self, model: Model, limit: int = 300_000):
+    def __init__(self, model: Model, limit: int = 200_000):
         self.model, self.limit, self.known = model, limit, {}
 
     def of(self, texts: list[str | None]) -> np.ndarray:
@@ -242,17 +242,6 @@ class Evidence:
         return np.array([sum(map(get, ws)) / len(ws) if ws else 0.0 for ws in split])
 
 
-_held: dict[str, Evidence] = {}
-
-
-def _evidence(shared, name: str) -> Evidence:
-    """One per Python worker and model, so that its memory of words lasts over tasks."""
-    if name not in _held:
-        _held.clear()
-        _held[name] = Evidence(shared.value)
-    return _held[name]
-
-
 def evidence_of(rows: DataFrame, shared, keep: list[str]) -> DataFrame:
     """``keep`` columns of ``rows`` and ``__evidence``, from their ``text``."""
     fields = [rows.schema[c] for c in keep]
@@ -260,7 +249,7 @@ def evidence_of(rows: DataFrame, shared, keep: list[str]) -> DataFrame:
     name = uuid.uuid4().hex
 
     def piece(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        scored = _evidence(shared, name).of(batch.column("text").to_pylist())
+        scored = worker_memory(name, lambda: Evidence(shared.value)).of(batch.column("text").to_pylist())
         yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(scored)], names=[*keep, "__evidence"])
 
     return rows.select(*keep, *[c for c in ["text"] if c not in keep]).mapInArrow(lambda batches: in_batches(batches, piece), schema)
