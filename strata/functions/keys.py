@@ -24,13 +24,14 @@ def check_key(df: DataFrame, key: Sequence[str]) -> None:
 
 
 def row_hash(key: Sequence[str], seed: int) -> Column:
-    """32 hex digits: md5 of ``seed:key[:key...]``."""
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in key]))
+    """32 hex digits: md5 of ``seed:key[:key...]``; a NULL holds its place as a zero byte."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in key]
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), *parts))
 
 
 def uniform(hash_col: Column) -> Column:
-    """The first eight hex digits of a hash as a DOUBLE in [0, 1)."""
-    return F.conv(F.substring(hash_col, 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
+    """The first 13 hex digits of a hash as a DOUBLE in [0, 1): all 52 bits a DOUBLE holds apart."""
+    return F.conv(F.substring(hash_col, 1, 13), 16, 10).cast("double") / F.lit(float(2**52))
 
 
 def stratum_id(cols: Sequence[str]) -> Column:

@@ -12,8 +12,6 @@ from strata.functions import parse, text
 from strata.operators.quantiles import clean_value, quantile_map
 from strata.runtime import as_list, attach, pin
 
-TOP_K_BROADCAST = 100_000
-
 
 def percent_to_double(df: DataFrame, cols: str | Sequence[str]) -> DataFrame:
     return df.withColumns({c: parse.percent_to_double(c) for c in as_list(cols)})
@@ -123,7 +121,7 @@ def top_k_categories(
         mine = kept.filter(F.col("column") == c).select(
             F.col("value").alias(c), F.col("value").alias("__kept"), "__n"
         )
-        # k rows at most; a very large k is measured, and its heavy values joined apart.
-        out = out.join(F.broadcast(mine), c, "left") if k <= TOP_K_BROADCAST else attach(out, mine, c, "__n")
+        # k rows at most, of any length: measured, and heavy values joined apart where they are too large
+        out = attach(out, mine, c, "__n")
         out = out.withColumn(c, F.coalesce("__kept", F.lit(other))).drop("__kept", "__n")
     return out.select(*df.columns)

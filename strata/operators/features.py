@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.clean import fill_constant
-from strata.runtime import as_list
+from strata.operators.prefix import row_numbers
+from strata.runtime import as_list, attach, pin
 
-# Labels of an indexer live on the driver and inside every task.
+# Labels of a Spark ML indexer live on the driver and inside every task; ``index_strings`` has no such limit.
 MAX_LABELS = 1_000_000
 
 
@@ -42,9 +43,20 @@ def string_indexer(cols: Sequence[str], suffix: str = "_idx") -> StringIndexer:
 
 
 def index_strings(df: DataFrame, cols: str | Sequence[str], suffix: str = "_idx") -> DataFrame:
-    cols = as_list(cols)
-    check_cardinality(df, cols)
-    return string_indexer(cols, suffix).fit(df).transform(df)
+    """Add the label's rank by frequency (ties by value) as a DOUBLE; NULL comes after the last label.
+
+    Labels are counted, ranked and joined back as tables, so a column may have any number of them.
+    """
+    out = df
+    for c in as_list(cols):
+        text = F.col(c).cast("string")
+        counts = df.groupBy(text.alias("__label")).agg(F.count(F.lit(1)).alias("__rows")).filter("__label IS NOT NULL")
+        ranked = row_numbers(counts.withColumn("__rare", -F.col("__rows")), ["__rare", "__label"], "__rank")
+        ranked = pin(ranked.select("__label", "__rows", "__rank"))
+        found = attach(out.withColumn("__label", text), ranked, "__label", "__rows")
+        index = F.coalesce("__rank", F.lit(ranked.count())).cast("double")
+        out = found.withColumn(f"{c}{suffix}", index).drop("__label", "__rows", "__rank")
+    return out
 
 
 def encoder_stages(
@@ -76,10 +88,15 @@ def encoder_stages(
     return stages
 
 
-def fit_encoder(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], **kw) -> PipelineModel:
-    """Fit the encoding once, on training rows; it then applies to any rows."""
+def fit_encoder(
+    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], max_labels: int = MAX_LABELS, **kw
+) -> PipelineModel:
+    """Fit the encoding once, on training rows; it then applies to any rows.
+
+    A one-hot slot per label: more than ``max_labels`` in a column is an error.
+    """
     if categorical:
-        check_cardinality(df, categorical)
+        check_cardinality(df, categorical, max_labels)
     return Pipeline(stages=encoder_stages(numeric, categorical, **kw)).fit(df)
 
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from strata.runtime import pin
+
 
 def bucket_index(df: DataFrame, value: str, bounds: Column, n_bounds: int, out: str) -> DataFrame:
     """Add ``out`` = number of ``bounds`` (an ascending array) below ``value``, by halving.
@@ -28,7 +30,26 @@ def bucket_index(df: DataFrame, value: str, bounds: Column, n_bounds: int, out:
 def default_buckets(spark: SparkSession) -> int:
     """A power of two, about twice the session's shuffle partitions: more on a larger cluster."""
     wanted = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return min(max(1 << (wanted - 1).bit_length(), 16), 4096)
+    return max(1 << (wanted - 1).bit_length(), 16)
+
+
+def row_numbers(df: DataFrame, order: Sequence[str], out: str = "rank") -> DataFrame:
+    """Add the 0-based number of each row along ``order``, whose columns must tell rows apart.
+
+    Rows go to ranges of ``order``; the rows of the ranges before (one count per range) and
+    the place inside the range add up to the number.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = pin(df.repartitionByRange(parts, *order).withColumn("__range", F.spark_partition_id()))
+    before = Window.orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
+    counts = ranges.groupBy(F.col("__range").alias("__r")).agg(F.count(F.lit(1)).alias("__n"))
+    offsets = counts.select("__r", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    inside = Window.partitionBy("__range").orderBy(*order)
+    return (
+        ranges.join(F.broadcast(offsets), F.col("__range") == F.col("__r"))  # one row per shuffle partition
+        .withColumn(out, F.col("__before") + F.row_number().over(inside) - 1)
+        .select(*df.columns, out)
+    )
 
 
 def running_totals(

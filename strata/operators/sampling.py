@@ -7,6 +7,7 @@ copies of one key always land on the same side.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,8 +16,11 @@ from pyspark.sql import functions as F
 from strata.functions.keys import check_key, row_hash, stratum_id, uniform
 from strata.runtime import as_list, attach, fits_broadcast, pin
 
-# Hex digits of the hash that form a bucket: 3 digits are 4096 buckets per stratum.
+# Hex digits of the hash that form a bucket at first: 3 digits are 4096 buckets per stratum.
 BUCKET_DIGITS = 3
+# Rows of a bucket that one task may rank; larger buckets are cut by more digits.
+BUCKET_ROWS = 1_000_000
+HASH_DIGITS = 32
 
 
 def with_uniform(df: DataFrame, key: str | Sequence[str], seed: int, out: str = "u") -> DataFrame:
@@ -130,25 +134,30 @@ def _with_position(
        buckets are ranked;
     3. the table itself passes once, unshuffled, next to the few cut rows.
 
-    A stratum that holds most of the table is spread over 4096 buckets in steps 1 and 2,
-    and in step 3 it is never brought together.
+    Buckets are cut finer until the largest has at most ``BUCKET_ROWS`` rows, so a stratum
+    that holds most of the table is spread in steps 1 and 2, and in step 3 it is never
+    brought together.
     """
     check_key(df, key)
     narrow = df.select(
         stratum_id(strata).alias("__sid"),
         row_hash(key, seed).alias("__h"),
         *[F.col(c).alias(f"__k{i}") for i, c in enumerate(key)],
-    ).withColumn("__b", F.substring("__h", 1, BUCKET_DIGITS))
+    )
     order = ["__h", *[f"__k{i}" for i in range(len(key))]]
 
-    counts = pin(narrow.groupBy("__sid", "__b").agg(F.count(F.lit(1)).alias("n")))
-    sizes = counts.groupBy("__sid").agg(F.sum("n").alias("__rows"))
-    few_strata = fits_broadcast(sizes.select("__sid", "__rows"), max_rows=max(1, 100_000 // n_cuts))
-    small = F.broadcast if few_strata else (lambda frame: frame)
+    digits = BUCKET_DIGITS
+    while True:
+        cut = narrow.withColumn("__b", F.substring("__h", 1, digits))
+        counts = pin(cut.groupBy("__sid", "__b").agg(F.count(F.lit(1)).alias("n")))
+        largest = counts.agg(F.max("n")).first()[0] or 0
+        if largest <= BUCKET_ROWS or digits >= HASH_DIGITS:
+            break
+        digits = min(HASH_DIGITS, digits + max(1, math.ceil(math.log(largest / BUCKET_ROWS, 16))))
 
     stratum = Window.partitionBy("__sid")
     upto = stratum.orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
-    targets = (
+    targets = pin(
         counts.withColumn("upto", F.sum("n").over(upto))
         .withColumn("rows", F.sum("n").over(stratum))
         .select(
@@ -163,8 +172,8 @@ def _with_position(
         .select("__sid", "__b", "rows", "cut", (F.col("rank") - F.col("before")).alias("place"))
     )
     in_bucket = Window.partitionBy("__sid", "__b", "cut").orderBy(*order)
-    cut_rows = (
-        narrow.join(small(targets), ["__sid", "__b"])
+    cut_rows = pin(
+        cut.join(F.broadcast(targets) if fits_broadcast(targets) else targets, ["__sid", "__b"])
         .withColumn("here", F.row_number().over(in_bucket))
         .filter(F.col("here") == F.col("place"))
         .groupBy("__sid")
@@ -175,10 +184,7 @@ def _with_position(
     )
     mine = F.struct(F.col("__h"), *[F.col(c).alias(f"__k{i}") for i, c in enumerate(key)])
     marked = df.withColumns({"__sid": stratum_id(strata), "__h": row_hash(key, seed)})
-    if few_strata:
-        joined = marked.join(F.broadcast(cut_rows), "__sid", "left")
-    else:
-        joined = attach(marked, pin(cut_rows), "__sid", "__rows")
+    joined = attach(marked, cut_rows, "__sid", "__rows")
     # No row at a cut means the cut is at rank 0: every row lies above it.
     above = sum(
         (

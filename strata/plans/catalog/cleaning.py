@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 from strata.operators import balance, clean, derive, joins
 from strata.plans import cleaning as plan
 from strata.plans.catalog.registry import query
-from strata.plans.loan_view import LOAN_VIEW_SQL, loan_view, table
+from strata.plans.loan_view import LOAN_VIEW_SQL, loan_view, order_view, table
 
 LV = "WITH " + LOAN_VIEW_SQL
 
 
 @query(LV + "\nSELECT loan_id, try_cast(replace(int_rate, '%', '') AS DOUBLE) AS int_rate FROM lv")
 def percent_to_double(spark, sf):
-    return clean.percent_to_double(loan_view(spark, sf).select("loan_id", "int_rate"), "int_rate")
+    return clean.percent_to_double(order_view(spark, sf).select("loan_id", "int_rate"), "int_rate")
 
 
 @query(
@@ -24,7 +24,7 @@ SELECT loan_id, try_cast(int_rate AS DOUBLE) AS int_rate, CAST(dti AS DOUBLE) AS
        try_cast(substr(issue_d, 5) AS DOUBLE) AS issue_d FROM lv"""
 )
 def cast_double(spark, sf):
-    lv = loan_view(spark, sf).select("loan_id", "int_rate", "dti", F.substring("issue_d", 5, 4).alias("issue_d"))
+    lv = order_view(spark, sf).select("loan_id", "int_rate", "dti", F.substring("issue_d", 5, 4).alias("issue_d"))
     return clean.to_double(lv, ["int_rate", "dti", "issue_d"])
 
 
@@ -36,7 +36,7 @@ WHERE loan_amnt IS NOT NULL AND int_rate IS NOT NULL AND loan_status IS NOT NULL
 )
 def drop_nulls(spark, sf):
     cols = ["loan_amnt", "int_rate", "loan_status"]
-    return clean.drop_nulls(loan_view(spark, sf).select("loan_id", *cols), cols)
+    return clean.drop_nulls(order_view(spark, sf).select("loan_id", *cols), cols)
 
 
 @query(
@@ -46,7 +46,7 @@ SELECT loan_id, coalesce(loan_status, 'missing') AS loan_status, coalesce(int_ra
        coalesce(loan_amnt, 0.0) AS loan_amnt FROM lv"""
 )
 def fill_constant(spark, sf):
-    lv = loan_view(spark, sf).select("loan_id", "loan_status", "int_rate", "loan_amnt")
+    lv = order_view(spark, sf).select("loan_id", "loan_status", "int_rate", "loan_amnt")
     return clean.fill_constant(clean.fill_constant(lv, "missing", ["loan_status", "int_rate"]), 0.0, "loan_amnt")
 
 
@@ -57,14 +57,14 @@ SELECT loan_id, round(coalesce(loan_amnt, (SELECT quantile_cont(loan_amnt, 0.5)
        round(coalesce(int_rate, (SELECT quantile_cont(int_rate, 0.5) FROM typed)), 4) AS int_rate FROM typed"""
 )
 def impute_median(spark, sf):
-    lv = clean.percent_to_double(loan_view(spark, sf).select("loan_id", "loan_amnt", "int_rate"), "int_rate")
+    lv = clean.percent_to_double(order_view(spark, sf).select("loan_id", "loan_amnt", "int_rate"), "int_rate")
     out = clean.impute_median(lv, ["loan_amnt", "int_rate"])
     return out.withColumns({c: F.round(c, 4) for c in ("loan_amnt", "int_rate")})
 
 
 @query(LV + "\nSELECT loan_id, nullif(dti, 999) AS dti FROM lv")
 def sentinel_null(spark, sf):
-    return clean.sentinel_to_null(loan_view(spark, sf).select("loan_id", "dti"), {"dti": 999})
+    return clean.sentinel_to_null(order_view(spark, sf).select("loan_id", "dti"), {"dti": 999})
 
 
 @query(
@@ -127,13 +127,13 @@ def top_values(spark, sf):
 
 @query(LV + "\nSELECT loan_id, CASE WHEN loan_status IN ('F', 'P') THEN 1 ELSE 0 END AS flag FROM lv")
 def binary_flag(spark, sf):
-    lv = loan_view(spark, sf).select("loan_id", "loan_status")
+    lv = order_view(spark, sf).select("loan_id", "loan_status")
     return derive.binary_flag(lv, "loan_status", ["F", "P"], "flag").drop("loan_status")
 
 
 @query(LV + "\nSELECT loan_id, concat_ws('_', grade, loan_status) AS grade_status FROM lv")
 def stratum_key(spark, sf):
-    lv = loan_view(spark, sf).select("loan_id", "grade", "loan_status")
+    lv = order_view(spark, sf).select("loan_id", "grade", "loan_status")
     return derive.stratum_key(lv, ["grade", "loan_status"], "grade_status").select("loan_id", "grade_status")
 
 
@@ -157,7 +157,7 @@ def credit_age(spark, sf):
 
 @query(LV + "\nSELECT loan_id, CAST(year(try_strptime('01-' || issue_d, '%d-%b-%Y')) AS INTEGER) AS issue_year FROM lv")
 def month_year(spark, sf):
-    lv = loan_view(spark, sf).select("loan_id", "issue_d")
+    lv = order_view(spark, sf).select("loan_id", "issue_d")
     return derive.month_text_year(lv, "issue_d", "issue_year").drop("issue_d")
 
 
@@ -206,7 +206,7 @@ SELECT loan_id, lv.loan_status,
 FROM lv LEFT JOIN n ON lv.loan_status = n.loan_status"""
 )
 def add_class_weight(spark, sf):
-    lv = loan_view(spark, sf).select("loan_id", "loan_status")
+    lv = order_view(spark, sf).select("loan_id", "loan_status")
     return balance.add_class_weight(lv, "loan_status").withColumn("weight", F.round("weight", 6))
 
 
@@ -235,7 +235,7 @@ def union_all(spark, sf):
 
 @query(LV + "\nSELECT DISTINCT grade, loan_status FROM lv")
 def distinct_strata(spark, sf):
-    return joins.distinct_rows(loan_view(spark, sf), ["grade", "loan_status"])
+    return joins.distinct_rows(order_view(spark, sf), ["grade", "loan_status"])
 
 
 @query(

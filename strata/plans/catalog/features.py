@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import features
 from strata.plans.catalog.registry import query
-from strata.plans.loan_view import LOAN_VIEW_SQL, loan_view, table
+from strata.plans.loan_view import LOAN_VIEW_SQL, loan_view, order_view, table
 
 PART_COLUMNS = ["p_name", "p_brand", "p_type"]
 
@@ -45,7 +45,7 @@ FROM lv GROUP BY {c}"""
     )
 )
 def one_hot_counts(spark, sf):
-    return features.one_hot_counts(loan_view(spark, sf), ["grade", "loan_status"])
+    return features.one_hot_counts(order_view(spark, sf), ["grade", "loan_status"])
 
 
 @query(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import joins, sampling
 from strata.plans.catalog.registry import query
-from strata.plans.loan_view import LOAN_VIEW_SQL, loan_view, table
+from strata.plans.loan_view import LOAN_VIEW_SQL, order_view, table
 
 LV = "WITH " + LOAN_VIEW_SQL
 LINE_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
@@ -15,7 +15,7 @@ LINE_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
 def u_sql(*key: str, seed: int = 42) -> str:
     """The keyed uniform number in DuckDB."""
     text = " || ':' || ".join([f"'{seed}'", *key])
-    return f"(CAST(('0x' || substr(md5({text}), 1, 8)) AS BIGINT) / CAST(4294967296 AS DOUBLE))"
+    return f"(CAST(('0x' || substr(md5({text}), 1, 13)) AS BIGINT) / CAST(4503599627370496 AS DOUBLE))"
 
 
 def _orders(spark, sf):
@@ -48,7 +48,7 @@ WHERE {u_sql('loan_id')} < CASE WHEN loan_status = 'F' THEN 0.5 WHEN loan_status
                                 WHEN loan_status IS NULL THEN 0.25 ELSE 0 END"""
 )
 def sample_by_fractions(spark, sf):
-    lv = loan_view(spark, sf).select("loan_id", "loan_status")
+    lv = order_view(spark, sf).select("loan_id", "loan_status")
     return sampling.sample_by(lv, "loan_status", {"F": 0.5, "O": 0.1, None: 0.25}, 42, "loan_id")
 
 
@@ -94,7 +94,7 @@ RANKED_SQL = (
 
 
 def _strata(spark, sf):
-    return loan_view(spark, sf).select("loan_id", "grade", "loan_status")
+    return order_view(spark, sf).select("loan_id", "grade", "loan_status")
 
 
 @query(RANKED_SQL + "\nSELECT loan_id, grade, loan_status, r <= floor(n * CAST(0.2 AS DOUBLE) + 0.5) AS is_test FROM ranked")
@@ -160,19 +160,19 @@ def share_deviation(spark, sf):
 SELECT loan_id, loan_amnt, loan_status FROM lv WHERE NOT {u_sql('loan_id')} < 0.2"""
 )
 def remainder(spark, sf):
-    rows = loan_view(spark, sf).select("loan_id", "loan_amnt", "loan_status")
+    rows = order_view(spark, sf).select("loan_id", "loan_amnt", "loan_status")
     return joins.remainder(rows, sampling.sample_fraction(rows, 0.2, 42, "loan_id"))
 
 
 @query(
     """
 SELECT c_mktsegment, c_nationkey, count(*) AS n FROM customer c
-WHERE NOT EXISTS (SELECT 1 FROM supplier s WHERE s.s_nationkey IS NOT DISTINCT FROM c.c_nationkey)
+WHERE NOT EXISTS (SELECT 1 FROM supplier s WHERE s.s_nationkey IS NOT DISTINCT FROM c.c_nationkey AND s.s_acctbal < -900)
 GROUP BY ALL"""
 )
 def remainder_by_key(spark, sf):
     customers = table(spark, sf, "customer").withColumnRenamed("c_nationkey", "nation")
-    suppliers = table(spark, sf, "supplier").withColumnRenamed("s_nationkey", "nation")
+    suppliers = table(spark, sf, "supplier").filter("s_acctbal < -900").withColumnRenamed("s_nationkey", "nation")
     left = joins.remainder(customers, suppliers, "nation")
     return left.groupBy("c_mktsegment", F.col("nation").alias("c_nationkey")).agg(F.count(F.lit(1)).alias("n"))
 

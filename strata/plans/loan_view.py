@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.sources import read_table
@@ -14,6 +14,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
+def _order_columns() -> dict[str, Column]:
+    key = F.col("o_orderkey")
+    status = F.when(key % 13 != 0, F.col("o_orderstatus"))
+    rate = (
+        F.when(key % 11 == 0, F.lit(None))
+        .when(key % 101 == 1, F.lit("n/a"))
+        .otherwise(F.concat((key % 31).cast("string"), F.lit("%")))
+    )
+    return {
+        "loan_id": key,
+        "loan_amnt": F.when(key % 7 != 0, F.col("o_totalprice")),
+        "int_rate": rate,
+        "grade": F.col("o_orderpriority"),
+        "loan_status": status,
+        "default_flag": F.when(status == "F", 1).otherwise(0),
+        "issue_d": F.date_format("o_orderdate", "MMM-yyyy"),
+        "dti": F.when(key % 50 == 0, F.lit(999)).otherwise((key % 40).cast("int")),
+    }
+
+
+def order_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loan view without the columns of the customer: a projection of the orders, no join.
+
+    Every order has its customer, so the rows are those of ``loan_view``.
+    """
+    return table(spark, sf_dir, "orders").select(*[c.alias(name) for name, c in _order_columns().items()])
+
+
 def loan_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order with the customer's attributes; see FIXTURES.md section 3.
 
@@ -23,26 +51,16 @@ def loan_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     earliest = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.min("o_orderdate").alias("first_order"))
     customers = table(spark, sf_dir, "customer").join(earliest, "c_custkey")
-    key = F.col("o_orderkey")
-    status = F.when(key % 13 != 0, F.col("o_orderstatus"))
-    rate = (
-        F.when(key % 11 == 0, F.lit(None))
-        .when(key % 101 == 1, F.lit("n/a"))
-        .otherwise(F.concat((key % 31).cast("string"), F.lit("%")))
-    )
-    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
-        key.alias("loan_id"),
-        F.when(key % 7 != 0, F.col("o_totalprice")).alias("loan_amnt"),
-        F.col("c_acctbal").alias("annual_inc"),
-        rate.alias("int_rate"),
-        F.col("o_orderpriority").alias("grade"),
-        status.alias("loan_status"),
-        F.when(status == "F", 1).otherwise(0).alias("default_flag"),
-        F.col("c_mktsegment").alias("home_ownership"),
-        F.date_format("o_orderdate", "MMM-yyyy").alias("issue_d"),
-        F.date_format("first_order", "MMM-yyyy").alias("earliest_cr_line"),
-        F.when(key % 50 == 0, F.lit(999)).otherwise((key % 40).cast("int")).alias("dti"),
-    )
+    columns = _order_columns() | {
+        "annual_inc": F.col("c_acctbal"),
+        "home_ownership": F.col("c_mktsegment"),
+        "earliest_cr_line": F.date_format("first_order", "MMM-yyyy"),
+    }
+    names = [
+        "loan_id", "loan_amnt", "annual_inc", "int_rate", "grade", "loan_status", "default_flag",
+        "home_ownership", "issue_d", "earliest_cr_line", "dti",
+    ]
+    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(*[columns[n].alias(n) for n in names])
 
 
 LOAN_VIEW_SQL = """

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructField, StructType
 
 BROADCAST_MAX_ROWS = 500_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
@@ -51,10 +51,14 @@ def pin(df: DataFrame) -> DataFrame:
 
 
 def _row_bytes(schema: StructType) -> F.Column:
-    parts = [
-        F.coalesce(F.octet_length(f.name), F.lit(0)) if isinstance(f.dataType, StringType) else F.lit(16)
-        for f in schema.fields
-    ]
+    def width(f: StructField) -> F.Column:
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            return F.coalesce(F.octet_length(f.name), F.lit(0))
+        if isinstance(f.dataType, (StructType, ArrayType, MapType)):
+            return 2 * F.coalesce(F.octet_length(F.to_json(F.struct(f.name))), F.lit(0))
+        return F.lit(16)
+
+    parts = [width(f) for f in schema.fields]
     return sum(parts, F.lit(16)).cast("long")
 
 

@@ -50,7 +50,6 @@ def test_top_k_tie_goes_to_the_smaller_value_and_null_takes_no_place(spark):
 def test_top_k_without_broadcast_is_the_same(spark, monkeypatch):
     df = spark.createDataFrame([(str(i % 7), i) for i in range(100)], "v string, id int")
     plain = sorted(clean.top_k_categories(df, "v", k=3).collect())
-    monkeypatch.setattr(clean, "TOP_K_BROADCAST", 0)
     monkeypatch.setattr(runtime, "fits_broadcast", lambda *a, **k: False)
     assert sorted(clean.top_k_categories(df, "v", k=3).collect()) == plain
 
