@@ -186,11 +186,25 @@ def chunks(text: str) -> list[str]:
     return CHUNK.findall(text) if SEPARATORS.search(text) else text.split()
 
 
+#: Latin letters and ASCII marks behind them: two words to the tokenizer, whatever stands around them.
+#: Left out are the apostrophe, which makes suffixes, and the dotted capital I, whose lower case holds a mark.
+LETTERS_MARKS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+)([!-&(-/:-@\\[-`{-~]*)")
+
+
+def gather(starts: np.ndarray, lengths: np.ndarray, pool: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Entries ``index`` of a pool of id lists put behind one another, and where each ends."""
+    n = lengths[index]
+    ends = np.cumsum(n)
+    return pool[np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - n - starts[index], n)], ends
+
+
 class ChunkEncoder:
     """Ids of texts by a tokenizer that never joins characters across white space.
 
     Each different chunk between white space is encoded once by the tokenizers library and
-    remembered (up to ``limit`` chunks); a text's ids are those of its chunks in order.
+    remembered (up to ``limit`` chunks); a text's ids are those of its chunks in order.  If the
+    vocabulary marks the ends of words and lowers letters, chunks of Latin letters and marks
+    go to the library as lines of words, and the marked ends tell their ids apart.
     """
 
     def __init__(self, path: str, limit: int = 400_000):
@@ -199,6 +213,11 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.limit = limit
+        vocabulary = self.tokenizer.get_vocab()
+        self.word_end = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.word_end[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        whole, letters, mark = (e.ids for e in self._encoded(["Aa.", "aa", "."]))
+        self.by_words = whole == letters + mark and bool(self.word_end[whole].sum() == 2)
         self.known: dict[str, int] = {}
         self._reset()
 
@@ -208,12 +227,55 @@ class ChunkEncoder:
         self.lengths = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
+    def _encoded(self, texts: list[str]) -> list:
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+
+    def _one_by_one(self, units: list[str]) -> tuple[list[int], list[int]]:
+        lengths, flat = [], []
+        for i in range(0, len(units), 5_000):
+            for e in self._encoded(units[i : i + 5_000]):
+                ids = e.ids
+                lengths.append(len(ids))
+                flat += ids
+        return lengths, flat
+
+    def _as_lines(self, units: list[str], line: int = 2_000) -> tuple[list[int], list[int]]:
+        """As ``_one_by_one``, for units of one word each."""
+        lengths, flat = [], []
+        for i in range(0, len(units), line):
+            some = units[i : i + line]
+            ids = self._encoded([" ".join(some)])[0].ids
+            ends = np.flatnonzero(self.word_end[np.array(ids, np.int64)]) + 1
+            if len(ends) == len(some) and ends[-1] == len(ids):
+                lengths += np.diff(ends, prepend=0).tolist()
+                flat += ids
+            else:
+                more = self._one_by_one(some)
+                lengths += more[0]
+                flat += more[1]
+        return lengths, flat
+
     def _learn(self, fresh: list[str]) -> None:
-        got = []
-        for i in range(0, len(fresh), 5_000):
-            got += [e.ids for e in self.tokenizer.encode_batch_fast(fresh[i : i + 5_000], add_special_tokens=False)]
-        lengths = np.fromiter(map(len, got), np.int64, len(got))
-        flat = np.fromiter((x for ids in got for x in ids), np.uint32, int(lengths.sum()))
+        words: dict[str, int] = {"": 0}  # the empty one stands for no marks
+        others: list[str] = []
+        first, second = [], []
+        for chunk in fresh:
+            found = LETTERS_MARKS.fullmatch(chunk) if self.by_words else None
+            if found:
+                first.append(words.setdefault(found[1].lower(), len(words)))
+                second.append(words.setdefault(found[2], len(words)))
+            else:
+                others.append(chunk)
+                first.append(-len(others))
+                second.append(0)
+        n1, ids1 = self._as_lines(list(words)[1:])
+        n2, ids2 = self._one_by_one(others)
+        units = np.array([0, *n1, *n2], np.int64)
+        pool = np.concatenate([np.array(ids1, np.uint32), np.array(ids2, np.uint32)])
+        pairs = np.stack([np.array(first, np.int64), np.array(second, np.int64)], axis=1)
+        pairs = np.where(pairs < 0, len(words) - 1 - pairs, pairs)
+        flat, ends = gather(np.cumsum(units) - units, units, pool, pairs.ravel())
+        lengths = np.diff(ends[1::2], prepend=0)
         base = len(self.known)
         self.known.update((w, base + i) for i, w in enumerate(fresh))
         self.starts = np.append(self.starts, len(self.ids) + np.cumsum(lengths) - lengths)
@@ -239,13 +301,10 @@ class ChunkEncoder:
         for words in split:
             listed.extend(map(get, words))
             listed.append(closing)
-        index = np.array(listed, np.int64)
-        n = lengths[index]
-        ends = np.cumsum(n)
-        source = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - n - starts[index], n)
+        ids, ends = gather(starts, lengths, pool, np.array(listed, np.int64))
         edges = np.cumsum([len(words) + 1 for words in split]) - 1
         per_text = np.diff(np.append(0, ends[edges])) if len(split) else np.zeros(0, np.int64)
-        return per_text, pool[source]
+        return per_text, ids
 
 
 def encoder(path: str) -> ChunkEncoder:

@@ -71,3 +71,16 @@ def test_files(spark, file_ids):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert T.round_trip(df, VOCABULARY).collect() == []
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.text(alphabet="aBéÉßœŒÿİıſŉΣς.,'_-<|>!×÷9 1̸́ª", max_size=40))
+def test_words_and_marks_equal_whole_text(text):
+    direct = Tokenizer.from_file(VOCABULARY)
+    enc = T.encoder(VOCABULARY)
+    assert enc.by_words
+    assert enc.encode([text], None)[1].tolist() == direct.encode(text, add_special_tokens=False).ids
+
+
+def test_vocabulary_without_word_ends_is_not_cut_into_words():
+    assert not T.ChunkEncoder(public_tokenizers.path("byte_bpe_50k.json")).by_words
