@@ -6,7 +6,10 @@ against properties instead.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators import evaluate, features, models, sampling
@@ -58,33 +61,40 @@ def dt_fit(spark, sf):
 
 @query()
 def rf_fit(spark, sf):
-    return _fit_and_evaluate(spark, sf, "RandomForest", numTrees=10)
+    return _fit_and_evaluate(spark, sf, "RandomForest")
 
 
 @query()
 def gbt_fit(spark, sf):
-    return _fit_and_evaluate(spark, sf, "GBT", maxIter=5, maxDepth=3)
+    return _fit_and_evaluate(spark, sf, "GBT")
 
 
 @query()
 def mlp_fit(spark, sf):
-    return _fit_and_evaluate(spark, sf, "MLP", maxIter=10)
-
-
-SMALL_GRID = {"maxDepth": [2, 4], "numTrees": [5]}
+    return _fit_and_evaluate(spark, sf, "MLP")
 
 
 @query()
 def cv_grid(spark, sf):
-    return _fit_and_evaluate(spark, sf, "RandomForest", grid=SMALL_GRID, folds=2)
+    """Both tuned ensembles over their full grids, 3 folds, on all training rows."""
+    data = prepared(spark, sf)
+    try:
+        runs = [training.evaluate_one(data, training.train_one(data, name, grid), name) for name, grid in models.GRIDS.items()]
+        return pin(reduce(DataFrame.unionByName, runs))
+    finally:
+        data.release()
 
 
 @query()
 def best_params(spark, sf):
+    """(model, param, value) of the winner of each full grid."""
     data = prepared(spark, sf)
     try:
-        model = training.train_one(data, "RandomForest", SMALL_GRID, folds=2)
-        return pin(models.best_params(data.train, model, list(SMALL_GRID)))
+        won = [
+            models.best_params(data.train, training.train_one(data, name, grid), list(grid)).select(F.lit(name).alias("model"), "*")
+            for name, grid in models.GRIDS.items()
+        ]
+        return pin(reduce(DataFrame.unionByName, won))
     finally:
         data.release()
 
@@ -93,7 +103,8 @@ def best_params(spark, sf):
 def train_and_compare(spark, sf):
     """Several models trained, logged and stored; the comparison with the winner marked."""
     data = prepared(spark, sf)
-    specs = {"DecisionTree": {}, "LogisticRegression": {"maxIter": 5}}
+    tuned = {name: {"grid": grid} for name, grid in models.GRIDS.items()}
+    specs = {"DecisionTree": {}, "LogisticRegression": {}, **tuned, "MLP": {}}
     try:
         return training.train_all(data, specs, scratch_path(spark, "log"), scratch_path(spark, "models"))
     finally:
@@ -110,10 +121,10 @@ def _stages(estimator):
 
 @query()
 def kfold_scores(spark, sf):
-    folded = sampling.stratified_kfolds(_complete(spark, sf), ["grade", "loan_status"], 3, 42, KEY).persist()
+    folded = sampling.stratified_kfolds(_complete(spark, sf), ["grade", "loan_status"], 5, 42, KEY).persist()
     try:
-        gbt = models.classifier("GBT", LABEL, maxIter=3, maxDepth=3)
-        return pin(models.kfold_scores(folded, _stages(gbt), 3, LABEL))
+        gbt = models.classifier("GBT", LABEL)
+        return pin(models.kfold_scores(folded, _stages(gbt), 5, LABEL))
     finally:
         folded.unpersist()
 
@@ -123,8 +134,8 @@ def learning_curve(spark, sf):
     rows = _complete(spark, sf).persist()
     try:
         train, val = sampling.split_by_sample(rows, 0.2, 7, KEY)
-        forest = models.classifier("RandomForest", LABEL, numTrees=5, maxDepth=3)
-        return pin(models.learning_curve(train, val, _stages(forest), [0.1, 0.5, 1.0], LABEL, KEY))
+        forest = models.classifier("RandomForest", LABEL)
+        return pin(models.learning_curve(train, val, _stages(forest), [0.1, 0.3, 0.5, 0.7, 1.0], LABEL, KEY))
     finally:
         rows.unpersist()
 
