@@ -1,11 +1,12 @@
 """Mixing sources to target weights by a low-discrepancy schedule, in DataFrame operations only.
 
-Slot t of the mix carries the golden-ratio point frac(t * 0.618...).  Cumulative target shares
-cut [0, 1) into one interval per source, and the point's interval says whose slot it is; so at
-every length of the mix each source has had its share up to a few slots.  The slots of a
-source are ranked, and rank r takes block r of the source: its documents in hash order, laid
-end to end, repeated, and cut into blocks of equal tokens.  A document has what its blocks
-have of it.
+A source's target is cut into blocks of equal words: as many as its share of ``SLOTS``, and at
+least ``LEAST`` (one a word for shorter targets), so a tiny source has many blocks beside a huge
+one.  Block r of n stands at (r + u) / n of the mix, with u from the golden-ratio sequence over
+the sources; sorted by that place, at every length of the mix each source has had its share up
+to one of its blocks, and at the end its target to the word.  A source is its documents in
+hash order, laid end to end and repeated; block r is the r-th piece of that.  A document has
+what its blocks have of it.
 
 Documents are ordered once by (source, hash) over range partitions, so a source that holds a
 third of all rows is spread like any other; there is no window over a source.
@@ -18,7 +19,7 @@ out of the plan.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import WORD_PATTERN, numbered, stored
@@ -28,10 +29,10 @@ WEIGHTS = (5, 2, 1)
 #: The mix as a multiple of all tokens, and the most that a source gives as a multiple of its own.
 SHARE = 1.5
 MOST = 2
-#: Slots of the schedule: a fixed number, so its accuracy and its size do not depend on the input.
+#: Slots of the schedule: with ``LEAST`` per source it has at most SLOTS + 2 * LEAST * sources, whatever the input.
 SLOTS = 1 << 18
-#: Cells that sort points into the sources' intervals.
-CELLS = 4096
+#: Blocks that a source has at least, if its target has as many words.
+LEAST = 32
 GOLDEN = 0.6180339887498949
 
 
@@ -71,63 +72,56 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     return stored(found.select("source", "source_size", "source_rank", "weight", "target", "mix_size"), "targets")
 
 
-def _block(mix_size: Column, slots: int) -> Column:
-    return F.greatest(F.lit(1), F.ceil(mix_size / slots)).cast("long")
+def blocks(wanted: DataFrame, slots: int = SLOTS) -> DataFrame:
+    """``wanted`` with goal, block_tokens and n_blocks of each source: whole words, and how they are cut."""
+    goal = F.when(F.col("target") > 0, F.greatest(F.lit(1), F.round("target"))).otherwise(0).cast("long")
+    even = F.greatest(F.lit(1), F.ceil(F.col("mix_size") / slots)).cast("long")
+    fine = F.greatest(F.lit(1), F.floor(F.col("goal") / LEAST)).cast("long")
+    cut = wanted.withColumn("goal", goal).withColumn("block_tokens", F.least(even, fine))
+    return cut.withColumn("n_blocks", F.ceil(F.col("goal") / F.col("block_tokens")).cast("long"))
 
 
-def schedule(spark: SparkSession, wanted: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """(slot, source_rank, block, block_tokens): which source each slot takes its next block from."""
-    cut = numbered(wanted.filter("target > 0"), ["source_rank"], ("target",), rank="__n")
-    whole = F.col("mix_size")
-    ranges = cut.select(
-        "source_rank", _block(whole, slots).alias("block_tokens"),
-        (F.col("before_target") / whole).alias("low"),
-        # the last source's interval is left open, so that no point falls behind it by rounding
-        F.when(F.col("before_target") + F.col("target") >= whole * (1 - 1e-12), F.lit(2.0)).otherwise((F.col("before_target") + F.col("target")) / whole).alias("high"),
+def schedule(wanted: DataFrame, slots: int = SLOTS) -> DataFrame:
+    """(slot, source_rank, block, block_tokens, goal): which source each slot takes its next block from."""
+    cut = blocks(wanted.filter("target > 0"), slots)
+    step = (F.col("source_rank") + 1) * F.lit(GOLDEN)
+    each = cut.select(
+        "source_rank", "block_tokens", "goal", "n_blocks", (step - F.floor(step)).alias("shift"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)).alias("block"),
     )
-    ranges = ranges.withColumn(
-        "cell", F.explode(F.sequence(F.floor(F.col("low") * CELLS), F.least(F.floor(F.col("high") * CELLS), F.lit(CELLS - 1))))
-    )
-    t = F.col("id") + 1
-    point = t * F.lit(GOLDEN) - F.floor(t * F.lit(GOLDEN))
-    points = spark.range(slots).select(F.col("id").alias("slot"), point.alias("point")).withColumn("cell", F.floor(F.col("point") * CELLS))
-    mine = (F.col("point") >= F.col("low")) & (F.col("point") < F.col("high"))
-    size = wanted.agg(F.first("mix_size").alias("mix_size"))
-    met = points.join(ranges, "cell").filter(mine).join(F.broadcast(size))
-    met = met.filter(F.col("slot") * F.col("block_tokens") < F.col("mix_size"))  # as many slots as the mix has blocks
-    placed = numbered(met.select("slot", "source_rank", "block_tokens"), ["source_rank", "slot"], rank="__at")
-    first = placed.groupBy("source_rank").agg(F.min("__at").alias("__first"))
-    return placed.join(F.broadcast(first), "source_rank").select(  # at most one row per slot
-        "slot", "source_rank", (F.col("__at") - F.col("__first")).alias("block"), "block_tokens"
-    )
+    placed = each.withColumn("place", (F.col("block") + F.col("shift")) / F.col("n_blocks"))
+    placed = placed.select("place", "source_rank", "block", "block_tokens", "goal")
+    return numbered(placed, ["place", "source_rank", "block"], rank="slot").select("slot", "source_rank", "block", "block_tokens", "goal")
 
 
 def mix(docs: DataFrame, slots: int = SLOTS, key: str = "doc_id", text: str = "text", source: str = "source") -> tuple[DataFrame, DataFrame]:
     """The documents with what the mix takes of them, and the pieces (slot, doc_number, tokens)."""
-    spark = docs.sparkSession
     sizes = sized(docs, key, text, source)
     wanted = targets(sizes)
     # rows that repeat get numbers, so that the order below tells all rows apart
     same = stored(sizes.withColumn("twin", F.monotonically_increasing_id()), "mix-sizes")
     laid = numbered(same, ["source", "place", "doc_id", "twin"], ("size",), rank="doc_number")
-    names = wanted.select(F.col("source").alias("__source"), "source_size", "source_rank", "target", "mix_size")
+    names = blocks(wanted, slots).withColumnRenamed("source", "__source")
+    names = names.select("__source", "source_size", "source_rank", "target", "goal", "block_tokens")
     bases = numbered(names, ["source_rank"], ("source_size",), rank="__n").select(
-        "__source", "source_size", "source_rank", "target", "mix_size", F.col("before_source_size").alias("base")
+        "__source", "source_size", "source_rank", "target", "goal", "block_tokens", F.col("before_source_size").alias("base")
     )
     laid = stored(
         laid.join(bases, F.col("source").eqNullSafe(F.col("__source"))).select(
-            "doc_id", "place", "size", "source_size", "source_rank", "target", "mix_size", "doc_number", (F.col("before_size") - F.col("base")).alias("at")
+            "doc_id", "place", "size", "source_size", "source_rank", "target", "goal", "block_tokens", "doc_number",
+            (F.col("before_size") - F.col("base")).alias("at"),
         ),
         "mix-laid",
     )
-    plan = schedule(spark, wanted, slots)
+    plan = schedule(wanted, slots)
     # each document lies in the repeated stream of its source once per epoch
-    width = _block(F.col("mix_size"), slots)
     lying = laid.filter("size > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(MOST - 1))))
     lying = lying.withColumn("start", F.col("at") + F.col("epoch") * F.col("source_size"))
+    lying = lying.withColumn("stop", F.least(F.col("start") + F.col("size"), F.col("goal"))).filter("start < stop")
+    width = F.col("block_tokens")
     lying = lying.select(
-        "doc_number", "source_rank", "start", (F.col("start") + F.col("size")).alias("stop"),
-        F.explode(F.sequence(F.floor(F.col("start") / width), F.floor((F.col("start") + F.col("size") - 1) / width))).alias("block"),
+        "doc_number", "source_rank", "start", "stop",
+        F.explode(F.sequence(F.floor(F.col("start") / width), F.floor((F.col("stop") - 1) / width))).alias("block"),
     )
     low = F.greatest(F.col("start"), F.col("block") * F.col("block_tokens"))
     high = F.least(F.col("stop"), (F.col("block") + 1) * F.col("block_tokens"))
