@@ -189,7 +189,7 @@ def candidates(prefix_rows: DataFrame) -> DataFrame:
 
         def emit(rows: dict[str, np.ndarray], opened: bool) -> Iterator[pa.RecordBatch]:
             n = len(rows["gram"])
-            if n < 2:
+            if n == 0:
                 return
             gram, salt, doc, size, pos = (rows[c] for c in columns)
             new = np.ones(n, bool)
