@@ -100,13 +100,13 @@ def write_archives(rows: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BY
     """Write ``digested`` rows; the stored list (archive, records)."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
+        part, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
         held: list[bytes] = []
         done: list[tuple[str, int]] = []
 
         def flush() -> None:
             if held:
-                name = f"run-{part:07d}-{len(done):05d}.warc.gz"
+                name = f"run-{part:07d}-{len(done):05d}-{attempt}.warc.gz"  # a second attempt may cut its rows otherwise
                 put(folder, name, held)
                 done.append((name, len(held)))
                 held.clear()
@@ -185,8 +185,8 @@ def _order(c: dict[str, Any]) -> tuple:
     return (c["url_key"], c["captured"], c["page_id"] is not None, c["page_id"] or 0, c["archive"], c["offset"])
 
 
-def archive_runs(spark: SparkSession, folder: str) -> DataFrame:
-    """Every capture read back from the archives; each archive is a run sorted by URL key and time."""
+def archive_runs(spark: SparkSession, folder: str, written: DataFrame) -> DataFrame:
+    """Every capture read back from the archives that ``written`` lists; each archive is a run sorted by URL key and time."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -196,7 +196,9 @@ def archive_runs(spark: SparkSession, folder: str) -> DataFrame:
                 yield pa.RecordBatch.from_pylist(run, schema=_SCHEMA)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "run-*.warc.gz").load(folder)
-    return files.select("path", "content").mapInArrow(read, CAPTURES)
+    captures = files.select("path", "content").mapInArrow(read, CAPTURES)
+    # files of lost or second attempts are not listed
+    return captures.join(written.select("archive"), "archive", "left_semi").select(*_NAMES)
 
 
 _TEXT = {"url", "payload_digest", "record_type", "url_key", "archive"}
@@ -274,4 +276,4 @@ def round_trip(pages: DataFrame, archive_bytes: int = ARCHIVE_BYTES, **names) ->
     written = write_archives(digested(pages, **names), folder, archive_bytes)
     if written.isEmpty():
         return spark.createDataFrame([], f"{CAPTURES}, range int, place long")
-    return merged_index(archive_runs(spark, folder))
+    return merged_index(archive_runs(spark, folder, written))
