@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontaminate, html_text, jaccard, lm_score, mixing, quality, sharding, token_files, toxicity, warc
+from strata.llm import decontaminate, html_text, jaccard, lm_score, mixing, periodic, quality, sharding, token_files, toxicity, warc
 from strata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,6 +70,11 @@ def op10_lm_score(spark, sf_dir):
     return lm_score.score(table(spark, sf_dir, "documents"), stable=True)
 
 
+@_query
+def op11_periodic_runs(spark, sf_dir):
+    return periodic.digest(periodic.collapse(table(spark, sf_dir, "documents"), rewrite=periodic.planted))
+
+
 ORACLES["op6_jaccard_join"] = r"""
 WITH RECURSIVE docs AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
