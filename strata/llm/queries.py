@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontaminate, html_text, jaccard, lm_score, mixing, periodic, quality, sharding, token_files, toxicity, warc
+from strata.llm import centroids, decontaminate, html_text, jaccard, lm_score, mixing, periodic, quality, sharding, token_files, toxicity, warc
 from strata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,6 +75,11 @@ def op11_periodic_runs(spark, sf_dir):
     return periodic.digest(periodic.collapse(table(spark, sf_dir, "documents"), rewrite=periodic.planted))
 
 
+@_query
+def op12_centroid_clusters(spark, sf_dir):
+    return centroids.assigned(table(spark, sf_dir, "embeddings"))
+
+
 ORACLES["op6_jaccard_join"] = r"""
 WITH RECURSIVE docs AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
@@ -100,3 +105,36 @@ SELECT page_id, n AS payload_bytes, d AS payload_digest,
   CASE WHEN n >= 100 AND page_id <> f THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN n >= 100 AND page_id <> f THEN f END AS refers_to FROM g
 """
+
+
+def _cluster_sql(clusters: int = 40, rounds: int = 5) -> str:
+    """Whole distances in every round: a nearest-centroid table and a floor of means per round."""
+    parts = [
+        """kept AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)""",
+        f"""c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c, v AS w FROM kept ORDER BY sha256('2:' || vec_id) LIMIT {clusters})""",
+    ]
+    for r in range(rounds + 1):
+        parts.append(
+            f"""a{r} AS MATERIALIZED (
+  SELECT vec_id, v, c, s FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY s, c) AS place FROM (
+    SELECT vec_id, v, c, list_sum(list_transform(range(1, 65), lambda i: (v[i] - w[i]) * (v[i] - w[i]))) AS s FROM kept CROSS JOIN c{r})) WHERE place = 1)"""
+        )
+        if r < rounds:
+            parts.append(
+                f"""c{r + 1} AS MATERIALIZED (
+  SELECT o.c, coalesce(w2, w) AS w FROM c{r} o LEFT JOIN (
+    SELECT c, list(((t - ((t % n) + n) % n) // n)::BIGINT ORDER BY d) AS w2 FROM (
+      SELECT c, d, sum(x)::BIGINT AS t, count(*) AS n FROM (SELECT c, unnest(range(64)) AS d, unnest(v) AS x FROM a{r}) GROUP BY c, d) GROUP BY c) m ON m.c = o.c)"""
+            )
+    return (
+        "WITH " + ",\n".join(parts) + f"""
+SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(s AS BIGINT) AS distance, CAST(sum(s) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(s) OVER () AS BIGINT) AS inertia, sha256(array_to_string(w, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} f ON a.c = f.c"""
+    )
+
+
+ORACLES["op12_centroid_clusters"] = _cluster_sql()
