@@ -8,7 +8,7 @@ an offset per block, so all words of a file are decoded at once without walking
     magic  | words | wide ids | first word of each block | ids of each block
            | doc ids | doc id is set | ids of each document | seven lengths | magic
 
-Documents are ordered by id (NULL first, then by text) across files: part number, then
+Documents are ordered by id (NULL first, then by a hash of the text) across files: part number, then
 sequence number.  Each file is bounded by ``FILE_IDS`` ids or one document.
 
 Defined cases: NULL and empty texts give the end id only; a NULL id sorts first; repeated
@@ -18,11 +18,11 @@ texts are encoded whole; other columns are not looked at.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -176,8 +176,6 @@ def read_file(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
 
 #: Unicode white space, at which the vocabulary's tokenizer always cuts.
 CHUNK = re.compile("[^\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
-
-
 #: What ``str.split`` takes for white space and the vocabulary's tokenizer does not.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 
@@ -186,65 +184,80 @@ def chunks(text: str) -> list[str]:
     return CHUNK.findall(text) if SEPARATORS.search(text) else text.split()
 
 
-#: Latin letters and ASCII marks behind them: two words to the tokenizer, whatever stands around them.
-#: Left out are the apostrophe, which makes suffixes, and the dotted capital I, whose lower case holds a mark.
-LETTERS_MARKS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+)([!-&(-/:-@\\[-`{-~]*)")
+#: How a vocabulary of lower-case words with marked ends prepares a text.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+WORD_PIECES = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+#: Texts of these characters are in normal form C, and their letters, digits and lower case are plain:
+#: ASCII, the letters of Latin-1 and Latin Extended-A but for the dotted capital I, and some marks.
+_LETTERS = "a-z\u00df-\u00f6\u00f8-\u017f"
+PLAIN = re.compile("[\\t-\\r -~\u00a1\u00ab\u00bb\u00bf\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f\u2013\u2014\u2018-\u201a\u201c-\u201e\u2026]*")
+#: The pieces of such a text in lower case, which the vocabulary encodes one by one.
+PIECES = re.compile(f"[{_LETTERS}]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\\t-\\r {_LETTERS}0-9]+")
 
 
-def gather(starts: np.ndarray, lengths: np.ndarray, pool: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Entries ``index`` of a pool of id lists put behind one another, and where each ends."""
-    n = lengths[index]
-    ends = np.cumsum(n)
-    return pool[np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - n - starts[index], n)], ends
+class _Places(dict):
+    """Numbers of keys in the order they are met; ``fresh`` lists those met since it was last emptied."""
+
+    def __init__(self, keys=()):
+        super().__init__((k, i) for i, k in enumerate(keys))
+        self.fresh: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        value = self[key] = len(self)
+        self.fresh.append(key)
+        return value
 
 
 class ChunkEncoder:
-    """Ids of texts by a tokenizer that never joins characters across white space.
+    """Ids of whole texts, each different piece encoded once by the tokenizers library.
 
-    Each different chunk between white space is encoded once by the tokenizers library and
-    remembered (up to ``limit`` chunks); a text's ids are those of its chunks in order.  If the
-    vocabulary marks the ends of words and lowers letters, chunks of Latin letters and marks
-    go to the library as lines of words, and the marked ends tell their ids apart.
+    If the vocabulary cuts texts into the pieces of ``WORD_PIECES`` in lower case, plain texts
+    are cut so here, and unknown pieces go to the library as lines of pieces, whose marked ends
+    tell their ids apart.  Other texts of such a vocabulary are cut at white space, and other
+    vocabularies get texts whole.  Of more than ``limit`` remembered pieces, or 16 ``limit``
+    characters in them, the half used most stays, without pieces of over 64 characters.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.limit = limit
+        with open(path, encoding="utf-8") as file:
+            form = json.load(file)
+        before = (form.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        self.by_words = (
+            (form.get("normalizer") or {}).get("normalizers") == NORMALIZERS
+            and before[0].get("pattern") == {"Regex": WORD_PIECES}
+            and form["model"].get("end_of_word_suffix") == "</w>"
+        )
+        self.specials = [t["content"] for t in form.get("added_tokens") or []]
         vocabulary = self.tokenizer.get_vocab()
         self.word_end = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.word_end[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        whole, letters, mark = (e.ids for e in self._encoded(["Aa.", "aa", "."]))
-        self.by_words = whole == letters + mark and bool(self.word_end[whole].sum() == 2)
-        self.known: dict[str, int] = {}
-        self._reset()
-
-    def _reset(self) -> None:
-        self.known.clear()
+        self.places = _Places()
+        self.characters = 0
+        self.uses = np.zeros(0, np.int64)
         self.starts = np.zeros(0, np.int64)
         self.lengths = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
-    def _encoded(self, texts: list[str]) -> list:
-        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-
-    def _one_by_one(self, units: list[str]) -> tuple[list[int], list[int]]:
+    def _one_by_one(self, texts: list[str]) -> tuple[list[int], list[int]]:
         lengths, flat = [], []
-        for i in range(0, len(units), 5_000):
-            for e in self._encoded(units[i : i + 5_000]):
+        for i in range(0, len(texts), 5_000):
+            for e in self.tokenizer.encode_batch_fast(texts[i : i + 5_000], add_special_tokens=False):
                 ids = e.ids
                 lengths.append(len(ids))
                 flat += ids
         return lengths, flat
 
-    def _as_lines(self, units: list[str], line: int = 2_000) -> tuple[list[int], list[int]]:
-        """As ``_one_by_one``, for units of one word each."""
+    def _as_lines(self, pieces: list[str], line: int = 2_000) -> tuple[list[int], list[int]]:
+        """As ``_one_by_one``, for pieces of one marked end each."""
         lengths, flat = [], []
-        for i in range(0, len(units), line):
-            some = units[i : i + line]
-            ids = self._encoded([" ".join(some)])[0].ids
+        for i in range(0, len(pieces), line):
+            some = pieces[i : i + line]
+            ids = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids
             ends = np.flatnonzero(self.word_end[np.array(ids, np.int64)]) + 1
             if len(ends) == len(some) and ends[-1] == len(ids):
                 lengths += np.diff(ends, prepend=0).tolist()
@@ -255,60 +268,86 @@ class ChunkEncoder:
                 flat += more[1]
         return lengths, flat
 
-    def _learn(self, fresh: list[str]) -> None:
-        words: dict[str, int] = {"": 0}  # the empty one stands for no marks
-        others: list[str] = []
-        first, second = [], []
-        for chunk in fresh:
-            found = LETTERS_MARKS.fullmatch(chunk) if self.by_words else None
-            if found:
-                first.append(words.setdefault(found[1].lower(), len(words)))
-                second.append(words.setdefault(found[2], len(words)))
-            else:
-                others.append(chunk)
-                first.append(-len(others))
-                second.append(0)
-        n1, ids1 = self._as_lines(list(words)[1:])
-        n2, ids2 = self._one_by_one(others)
-        units = np.array([0, *n1, *n2], np.int64)
-        pool = np.concatenate([np.array(ids1, np.uint32), np.array(ids2, np.uint32)])
-        pairs = np.stack([np.array(first, np.int64), np.array(second, np.int64)], axis=1)
-        pairs = np.where(pairs < 0, len(words) - 1 - pairs, pairs)
-        flat, ends = gather(np.cumsum(units) - units, units, pool, pairs.ravel())
-        lengths = np.diff(ends[1::2], prepend=0)
-        base = len(self.known)
-        self.known.update((w, base + i) for i, w in enumerate(fresh))
-        self.starts = np.append(self.starts, len(self.ids) + np.cumsum(lengths) - lengths)
+    def _cut(self, text: str) -> list[str]:
+        """Keys of a text's parts, in order: pieces, or chunks behind a NUL, which no piece holds."""
+        if PLAIN.fullmatch(text) and not any(s in text for s in self.specials):
+            return PIECES.findall(text.lower())
+        return ["\0" + c for c in chunks(text)]
+
+    def _learn(self) -> None:
+        fresh = self.places.fresh
+        self.places.fresh = []
+        if not fresh:
+            return
+        self.characters += sum(map(len, fresh))
+        lines = [k for k in fresh if k[0] != "\0"]
+        n1, ids1 = self._as_lines(lines)
+        n2, ids2 = self._one_by_one([k[1:] for k in fresh if k[0] == "\0"])
+        pool = np.array(ids1 + ids2, np.uint32)
+        lengths = np.array(n1 + n2, np.int64)
+        starts = np.cumsum(lengths) - lengths
+        if n2:  # back into the order in which they were met
+            order = np.argsort(np.array([k[0] == "\0" for k in fresh]), kind="stable")
+            back = np.empty(len(fresh), np.int64)
+            back[order] = np.arange(len(fresh))
+            starts, lengths = starts[back], lengths[back]
+        self.starts = np.append(self.starts, len(self.ids) + starts)
         self.lengths = np.append(self.lengths, lengths)
-        self.ids = np.append(self.ids, flat)
+        self.ids = np.append(self.ids, pool)
+        self.uses = np.append(self.uses, np.zeros(len(fresh), np.int64))
+
+    def _forget(self) -> None:
+        """Keep the half of the pieces that was used most."""
+        short = np.fromiter((len(k) <= 64 for k in self.places), bool, len(self.places))
+        wanted = np.zeros(len(self.uses), bool)
+        wanted[np.argsort(-self.uses, kind="stable")[: self.limit // 2]] = True
+        keep = np.flatnonzero(wanted & short)
+        self.places = _Places(k for k, w in zip(self.places, (wanted & short).tolist()) if w)
+        self.characters = sum(map(len, self.places))
+        self.ids, ends = gather(self.starts, self.lengths, self.ids, keep)
+        self.lengths = self.lengths[keep]
+        self.starts = ends - self.lengths
+        self.uses = self.uses[keep] // 2
 
     def encode(self, texts: list[str | None], end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of each text, all ids), each text closed by ``end_id``."""
-        split = [chunks(t) if t else [] for t in texts]
-        different = set(chain.from_iterable(split))
-        fresh = list(different - self.known.keys())
-        if fresh and len(self.known) + len(fresh) > self.limit:
-            self._reset()
-            fresh = list(different)
-        if fresh:
-            self._learn(fresh)
-        get = self.known.__getitem__
-        closing = len(self.starts)  # one more entry stands for the end id
+        if not self.by_words:
+            counts, flat = self._one_by_one([t or "" for t in texts])
+            ends = np.cumsum(counts, dtype=np.int64)
+            if end_id is None:
+                return np.array(counts, np.int64), np.array(flat, np.uint32)
+            return np.array(counts, np.int64) + 1, np.insert(np.array(flat, np.uint32), ends, np.uint32(end_id))
+        if len(self.places) > self.limit or self.characters > 16 * self.limit:
+            self._forget()
+        place = self.places.__getitem__
+        listed: list[int] = []
+        edges: list[int] = []
+        for text in texts:
+            if text:
+                listed.extend(map(place, self._cut(text)))
+            listed.append(-1)  # stands for the end id
+            edges.append(len(listed) - 1)
+        self._learn()
+        index = np.array(listed, np.int64)
+        closing = len(self.starts)
+        self.uses += np.bincount(index[index >= 0], minlength=closing)
+        index[index < 0] = closing
         starts = np.append(self.starts, len(self.ids))
         lengths = np.append(self.lengths, 0 if end_id is None else 1)
         pool = self.ids if end_id is None else np.append(self.ids, np.uint32(end_id))
-        listed: list[int] = []
-        for words in split:
-            listed.extend(map(get, words))
-            listed.append(closing)
-        ids, ends = gather(starts, lengths, pool, np.array(listed, np.int64))
-        edges = np.cumsum([len(words) + 1 for words in split]) - 1
-        per_text = np.diff(np.append(0, ends[edges])) if len(split) else np.zeros(0, np.int64)
-        return per_text, ids
+        ids, ends = gather(starts, lengths, pool, index)
+        return np.diff(ends[edges], prepend=0) if edges else np.zeros(0, np.int64), ids
+
+
+def gather(starts: np.ndarray, lengths: np.ndarray, pool: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Entries ``index`` of a pool of id lists put behind one another, and where each ends."""
+    n = lengths[index]
+    ends = np.cumsum(n)
+    return pool[np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - n - starts[index], n)], ends
 
 
 def encoder(path: str) -> ChunkEncoder:
-    """One per Python worker, so that its memory of chunks lasts over tasks."""
+    """One per Python worker, so that its memory of pieces lasts over tasks."""
     return worker_memory(f"chunks {path}", lambda: ChunkEncoder(path))
 
 
@@ -319,8 +358,9 @@ def write_tokens(
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # the text takes part in the order, so that rows of one id, or without any, can be split
-    rows = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), F.md5(F.coalesce("text", F.lit(""))))
-    rows = rows.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.md5(F.coalesce("text", F.lit(""))))
+    rows = rows.withColumn("tie", F.xxhash64("text"))
+    rows = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), "tie")
+    rows = rows.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "tie").drop("tie")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()

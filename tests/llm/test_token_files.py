@@ -84,3 +84,20 @@ def test_words_and_marks_equal_whole_text(text):
 
 def test_vocabulary_without_word_ends_is_not_cut_into_words():
     assert not T.ChunkEncoder(public_tokenizers.path("byte_bpe_50k.json")).by_words
+
+
+def test_vocabulary_without_word_ends_gets_whole_texts():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    direct = Tokenizer.from_file(path)
+    counts, ids = T.ChunkEncoder(path).encode(TEXTS, 3)
+    want = [[*direct.encode(t or "", add_special_tokens=False).ids, 3] for t in TEXTS]
+    assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [x for w in want for x in w]
+
+
+def test_forgetting_changes_nothing():
+    direct = Tokenizer.from_file(VOCABULARY)
+    enc = T.ChunkEncoder(VOCABULARY, limit=20)
+    for i in range(200):
+        text = f"the word{i} and {'long' * (i % 40)} it's {i}, ÆTHER{i % 7} ∂x{i}"
+        assert enc.encode([text, "the end"], 1)[1].tolist() == [*direct.encode(text).ids, 1, *direct.encode("the end").ids, 1]
+    assert len(enc.places) < 60
