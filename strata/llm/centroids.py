@@ -89,9 +89,13 @@ def scaled(vectors: pa.Array, size: int = SIZE, scale: int = SCALE) -> tuple[np.
 def moved(vectors: np.ndarray, products: np.ndarray, old: np.ndarray, new: np.ndarray) -> np.ndarray:
     """Dot products with ``new`` from those with ``old``, touching only components that differ."""
     change = new - old
+    if int(np.abs(change).max(initial=0)) * int(np.abs(vectors).max(initial=0)) * max(1, change.shape[1]) < 1 << 53:
+        vectors, change = vectors.astype(np.float64), change.astype(np.float64)  # whole numbers, exact below 2^53
+    vectors = np.asfortranarray(vectors)  # a component is one stretch of memory
     for j in np.flatnonzero(change.any(axis=1)):
         where = np.flatnonzero(change[j])
-        products[:, j] += vectors[:, where] @ change[j, where]
+        part = vectors if len(where) == change.shape[1] else vectors[:, where]
+        products[:, j] += (part @ change[j, where]).astype(np.int64)
     return products
 
 
