@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import centroids, decontaminate, html_text, jaccard, lm_score, mixing, periodic, quality, sharding, token_files, toxicity, warc
+from strata.llm import centroids, decontaminate, html_text, jaccard, lm_score, mixing, packing, periodic, quality, sharding, token_files, toxicity, warc
 from strata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,6 +80,11 @@ def op12_centroid_clusters(spark, sf_dir):
     return centroids.assigned(table(spark, sf_dir, "embeddings"))
 
 
+@_query
+def op13_sequence_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 ORACLES["op6_jaccard_join"] = r"""
 WITH RECURSIVE docs AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
