@@ -23,6 +23,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -58,8 +59,9 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     sizes[-1] = n - BLOCK * (blocks - 1)
     # the ids of a block, with room behind for words that are not full
     room = 120
-    grid = np.zeros((blocks, BLOCK + room), np.uint64)
-    full = np.zeros(blocks * BLOCK, np.uint64)
+    kind = np.uint32 if int(ids.max()) < 1 << 32 else np.uint64
+    grid = np.zeros((blocks, BLOCK + room), kind)
+    full = np.zeros(blocks * BLOCK, kind)
     full[:n] = ids
     grid[:, :BLOCK] = full.reshape(blocks, BLOCK)
     choice = np.zeros((blocks, BLOCK), np.uint8)  # the escape fits always
@@ -88,7 +90,7 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     block, start = block[order], start[order]
     selector = choice[block, start]
     words = selector.astype(np.uint64)
-    wide = np.zeros(0, np.uint64)
+    wide, flat = np.zeros(0, np.uint64), grid.ravel()
     for s in np.unique(selector):
         which = np.flatnonzero(selector == s)
         count, width = SELECTORS[int(s)]
@@ -98,8 +100,10 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
             continue
         if s == 15:
             continue
+        at, body = block[which] * (BLOCK + room) + start[which], np.zeros(len(which), np.uint64)
         for k in range(count):
-            words[which] |= grid[block[which], start[which] + k] << np.uint64(4 + k * width)
+            body |= flat[at + k].astype(np.uint64) << np.uint64(4 + k * width)
+        words[which] |= body
     first = np.searchsorted(block, np.arange(blocks))
     return words, wide, first.astype(np.int64), sizes
 
@@ -319,12 +323,14 @@ class ChunkEncoder:
             return np.array(counts, np.int64) + 1, np.insert(np.array(flat, np.uint32), ends, np.uint32(end_id))
         if len(self.places) > self.limit or self.characters > 16 * self.limit:
             self._forget()
-        place = self.places.__getitem__
         listed: list[int] = []
         edges: list[int] = []
         for text in texts:
-            if text:
-                listed.extend(map(place, self._cut(text)))
+            parts = self._cut(text) if text else ()
+            if len(parts) > 1:
+                listed += itemgetter(*parts)(self.places)
+            elif parts:
+                listed.append(self.places[parts[0]])
             listed.append(-1)  # stands for the end id
             edges.append(len(listed) - 1)
         self._learn()
