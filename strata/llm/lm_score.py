@@ -71,8 +71,24 @@ def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     return hashes, counts
 
 
+def _ranked(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted distinct values, place of each value among them)."""
+    order = np.argsort(values)
+    ranked = values[order]
+    first = np.append(True, ranked[1:] != ranked[:-1])
+    distinct = ranked[first]
+    del ranked
+    place = np.empty(len(values), np.int32)
+    place[order] = np.cumsum(first, dtype=np.int32) - 1
+    return distinct, place
+
+
+def _slices(n: int, step: int = 250_000) -> Iterator[slice]:
+    return (slice(i, min(n, i + step)) for i in range(0, n, step))
+
+
 class Block:
-    """The tokens of consecutive documents as hashes."""
+    """The tokens of consecutive documents: each a place among the block's distinct words, and among its distinct bigrams."""
 
     def __init__(self):
         self.ids: list[int | None] = []
@@ -88,24 +104,39 @@ class Block:
 
     def close(self) -> Block:
         self.lengths = np.array([len(p) for p in self.parts], np.int64)
-        self.tokens = np.concatenate(self.parts)
-        self.parts = []
-        before = np.empty_like(self.tokens)
-        before[1:] = self.tokens[:-1]
-        before[np.cumsum(self.lengths) - self.lengths] = BEGIN
-        self.before = before
-        self.words = mixed(self.tokens)  # scrambled, they spread over the buckets in order
-        self.bigrams = mixed((mixed(before) ^ self.tokens) * _MUL)
+        self.starts = np.cumsum(self.lengths) - self.lengths
         self.learnt = np.repeat(~np.array(self.held, bool), self.lengths)
+        tokens = np.concatenate(self.parts)
+        self.parts = []
+        bigrams = np.empty_like(tokens)
+        bigrams[1:] = tokens[:-1]
+        bigrams[self.starts] = BEGIN
+        # scrambled, both spread over the buckets in order
+        for i in _slices(len(tokens)):
+            bigrams[i] = mixed((mixed(bigrams[i]) ^ tokens[i]) * _MUL)
+            tokens[i] = mixed(tokens[i])
+        self.bigrams, self.bigram_at = _ranked(bigrams)
+        del bigrams
+        self.words, self.word_at = _ranked(tokens)
         return self
 
     def counts(self, kind: int) -> tuple[np.ndarray, np.ndarray]:
         """Sorted distinct n-grams of all documents, with how often the learnt ones hold them."""
-        grams = self.words if kind == UNIGRAM else self.bigrams
-        order = np.argsort(grams)
-        grams = grams[order]
-        first = np.flatnonzero(np.append(True, grams[1:] != grams[:-1]))
-        return grams[first], np.add.reduceat(self.learnt[order].astype(np.int64), first)
+        grams, place = (self.words, self.word_at) if kind == UNIGRAM else (self.bigrams, self.bigram_at)
+        total = np.zeros(len(grams), np.int64)
+        for i in _slices(len(place)):
+            learnt, times = np.unique(place[i][self.learnt[i]], return_counts=True)
+            total[learnt] += times
+        return grams, total
+
+    def groups(self, least: int = 100_000) -> Iterator[tuple[slice, slice]]:
+        """(documents, tokens) of stretches of whole documents with at least ``least`` tokens."""
+        ends = self.starts + self.lengths
+        at = 0
+        while at < len(ends):
+            stop = min(len(ends), int(np.searchsorted(ends, self.starts[at] + least)) + 1)
+            yield slice(at, stop), slice(int(self.starts[at]), int(ends[stop - 1]))
+            at = stop
 
     def mark(self) -> int:
         """What tells this block from one cut in another way."""
@@ -115,7 +146,7 @@ class Block:
 def blocks(batches: Iterator[pa.RecordBatch], block_tokens: int) -> Iterator[tuple[int, Block]]:
     """(number, block) of a partition (doc_id, held_out, text binary)."""
     part = TaskContext.get().partitionId()
-    words, seq, block = WordHashes(), 0, Block()
+    words, seq, block = WordHashes(100_000), 0, Block()
 
     def whole(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch
@@ -209,22 +240,20 @@ def _rows(out: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def _look(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    if not len(keys):
-        return np.zeros(len(wanted), values.dtype)
-    i = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[i] == wanted, values[i], 0)
-
-
 class Automaton:
-    """The part of the model that one block can reach: states, arcs and failure arcs with their weights (log10)."""
+    """The part of the model that one block can reach, with weights (log10).
+
+    A state for each word and one for the beginning; the arcs of a state by their bigrams; the
+    failure arc of a state leads to the root, which has an arc for each word.
+    """
 
-    def __init__(self, words: np.ndarray, c: np.ndarray, bigrams: np.ndarray, c2: np.ndarray, n: int, v: int, begins: int, k: float = K):
-        self.k, self.room = k, float(n + v + 1)
-        self.words, self.c = words, c  # states, and how often each was seen as a word
-        arcs = c2 > 0
-        self.arcs, self.arc_count = bigrams[arcs], c2[arcs]
-        self.begins = begins  # how often the begin state was left in training
+    def __init__(self, c: np.ndarray, c2: np.ndarray, n: int, v: int, begins: int, k: float = K):
+        self.k, self.known = k, c > 0
+        self.chance = (c + 1) / float(n + v + 1)  # of a word at the root
+        self.left = np.append(c, begins) + k  # how often each state was left in training; the begin state is the last
+        self.failure = np.log10(k / self.left)
+        self.root = np.log10(self.chance)
+        self.arcs = c2
 
     @classmethod
     def of(cls, block: Block, folder: str, number: int, n: int, v: int, begins: int, k: float = K) -> Automaton:
@@ -240,21 +269,31 @@ class Automaton:
             at += 8 + size
             own, counts = block.counts(kind)
             counts[np.searchsorted(own, grams)] = totals
-            tables += [own, counts]
+            tables.append(counts)
         return cls(*tables, n, v, begins, k)
 
     def walk(self, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Per token of the block: its training count, root weight and path weight.
+        """Per document: its known tokens, its weight at the root and the weight of its path.
 
-        The state reached by a token is its word, so every step of the left-to-right walk is
-        known: take the arc of the state before, or its failure arc and the root's arc.
+        A token leads to the state of its word, so the state that each token starts from is known
+        and the steps of many documents are taken at once: along the state's arc where there is
+        one, else along its failure arc and the root's arc.
         """
-        seen = _look(self.words, self.c, block.words)
-        root = (seen + 1) / self.room
-        left = np.where(block.before == BEGIN, self.begins, _look(self.words, self.c, mixed(block.before)))
-        arc = _look(self.arcs, self.arc_count, block.bigrams)
-        step = np.log10((arc + self.k * root) / (left + self.k))
-        return seen, np.log10(root), step
+        n = len(block.lengths)
+        known, base, path = np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
+        for docs, tokens in block.groups():
+            word, first = block.word_at[tokens], block.starts[docs] - block.starts[docs.start]
+            state = np.empty_like(word)
+            state[1:] = word[:-1]
+            state[first] = len(self.left) - 1
+            times = self.arcs[block.bigram_at[tokens]]
+            step = self.failure[state] + self.root[word]
+            arc = np.flatnonzero(times)
+            step[arc] = np.log10((times[arc] + self.k * self.chance[word[arc]]) / self.left[state[arc]])
+            known[docs] = np.add.reduceat(self.known[word].astype(np.int64), first)
+            base[docs] = np.add.reduceat(self.root[word], first)
+            path[docs] = np.add.reduceat(step, first)
+        return known, base, path
 
 
 def score(docs: DataFrame, stable: bool = False, block_tokens: int = BLOCK_TOKENS, k: float = K, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -276,18 +315,16 @@ def score(docs: DataFrame, stable: bool = False, block_tokens: int = BLOCK_TOKEN
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, block in blocks(batches, block_tokens):
-            seen, root, step = Automaton.of(block, folder, number, n, v, begins, k).walk(block)
-            first = np.cumsum(block.lengths) - block.lengths
-            add = lambda x, first=first: np.add.reduceat(x, first)
+            known, base, path = Automaton.of(block, folder, number, n, v, begins, k).walk(block)
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": pa.array(block.ids, pa.int64()),
                     "held_out": pa.array(block.held, pa.bool_()),
                     "n_tokens": pa.array(block.lengths),
-                    "n_known": pa.array(add((seen > 0).astype(np.int64))),
+                    "n_known": pa.array(known),
                     "train_tokens": pa.array(np.full(len(block.ids), n, np.int64)),
-                    "base_score": pa.array(add(root)),
-                    "score": pa.array(add(step)),
+                    "base_score": pa.array(base),
+                    "score": pa.array(path),
                 }
             )
 
