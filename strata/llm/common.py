@@ -65,11 +65,17 @@ _memory: dict[str, object] = {}
 def worker_memory(name: str, make: Callable[[], object]):
     """What a Python worker keeps from task to task: one thing at a time, so that stages do not pile up."""
     if name not in _memory:
+        release_memory()
+        _memory[name] = make()
+    return _memory[name]
+
+
+def release_memory() -> None:
+    """Let go of what earlier stages keep; for tasks that keep nothing themselves."""
+    if _memory:
         _memory.clear()
         gc.collect()
         pa.default_memory_pool().release_unused()
-        _memory[name] = make()
-    return _memory[name]
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -96,6 +102,7 @@ def summed_vector(rows: DataFrame) -> np.ndarray:
     """Sum the slices (columns ``slice int, cells binary``) of all tasks: ``CELLS`` counters, a fixed 16 MB."""
 
     def add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         total = np.zeros(CELLS // SLICES, np.int64)
         for batch in batches:
             for blob in batch.column("cells"):
@@ -116,6 +123,7 @@ def id_bitmap(ids: DataFrame) -> np.ndarray:
     """A fixed-size bitmap that holds every id of the one BIGINT column, and some others by chance."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         seen = np.zeros(CELLS, np.int64)
         for batch in batches:
             values = batch.column(0).drop_null().to_numpy(zero_copy_only=False)
@@ -131,6 +139,7 @@ def maybe_in(bitmap, column: str) -> Column:
 
     @F.arrow_udf("boolean")
     def test(ids: pa.Array) -> pa.Array:
+        release_memory()
         known = ids.is_valid().to_numpy(zero_copy_only=False)
         values = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
         return pa.array(bitmap.value[cell_of(values.view(np.uint64))] & known)

@@ -45,6 +45,7 @@ from strata.llm.common import (
     in_batches,
     maybe_in,
     mixed,
+    release_memory,
     stored,
     summed_vector,
     vector_rows,
@@ -97,7 +98,8 @@ def sizes_and_counts(rows: DataFrame) -> tuple[DataFrame, np.ndarray]:
     names = ["doc_id", "n_shingles", "high", "low", "slice", "cells"]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, counts, seen = WordHashes(), np.zeros(CELLS, np.int64), set()
+        release_memory()
+        words, counts, seen = WordHashes(100_000), np.zeros(CELLS, np.int64), set()
 
         def piece(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             sizes, keys, found = [], [], []
@@ -108,7 +110,7 @@ def sizes_and_counts(rows: DataFrame) -> tuple[DataFrame, np.ndarray]:
                 sizes.append(len(s))
                 keys.append(key)
                 if d is not None and key not in seen:  # copies in this task add nothing to the order
-                    if len(seen) >= 200_000:
+                    if len(seen) >= 50_000:
                         seen.clear()
                     seen.add(key)
                     found.append(s)
@@ -144,7 +146,8 @@ def prefixes(rows: DataFrame, counts: np.ndarray) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(np.minimum(counts, 2**31 - 1).astype(np.int32))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, table = WordHashes(), shared.value
+        release_memory()
+        words, table = WordHashes(100_000), shared.value
 
         def piece(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             grams, salts, ids, ns, poss = [], [], [], [], []
@@ -184,6 +187,7 @@ def candidates(prefix_rows: DataFrame) -> DataFrame:
     columns = ["gram", "salt", "doc_id", "n", "pos"]
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         carry = {c: np.zeros(0, np.int64) for c in columns}
         known_long = False  # whether the carried row is the first document of a long list already set aside
 
@@ -254,7 +258,8 @@ def sets_of(rows: DataFrame, ids: DataFrame) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(id_bitmap(ids))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
+        release_memory()
+        words = WordHashes(100_000)
 
         def piece(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             got = [shingle_set(words.of(words_of(t))).astype("<u8").tobytes() for t in batch.column("text").to_pylist()]
@@ -287,6 +292,7 @@ def linked(a: bytes, b: bytes) -> bool:
 
 @F.arrow_udf(BooleanType())
 def _linked(a: pa.Array, b: pa.Array) -> pa.Array:
+    release_memory()
     return pa.array([linked(x.as_buffer(), y.as_buffer()) for x, y in zip(a, b)], pa.bool_())
 
 
