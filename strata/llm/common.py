@@ -70,9 +70,9 @@ def worker_memory(name: str, make: Callable[[], object]):
     return _memory[name]
 
 
-def release_memory() -> None:
-    """Let go of what earlier stages keep; for tasks that keep nothing themselves."""
-    if _memory:
+def release_memory(keeps: str | None = None) -> None:
+    """Let go of what earlier stages keep, when a task starts that keeps nothing or another thing."""
+    if _memory and keeps not in _memory:
         _memory.clear()
         gc.collect()
         pa.default_memory_pool().release_unused()
@@ -190,8 +190,14 @@ def numbered(df: DataFrame, order: list[str], sums: tuple[str, ...] = (), rank:
     )
 
 
-def in_batches(batches: Iterator[pa.RecordBatch], fn: Callable, limit_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Apply ``fn`` to each batch cut into pieces of about ``limit_bytes``, so that long texts do not pile up."""
+def in_batches(
+    batches: Iterator[pa.RecordBatch], fn: Callable, limit_bytes: int = 4 << 20, keeps: str | None = None
+) -> Iterator[pa.RecordBatch]:
+    """Apply ``fn`` to each batch cut into pieces of about ``limit_bytes``, so that long texts do not pile up.
+
+    ``keeps`` names the ``worker_memory`` that ``fn`` uses; any other is released first.
+    """
+    release_memory(keeps)
     for batch in batches:
         if batch.num_rows == 0:
             continue

@@ -182,7 +182,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, key
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "item_id", "errors", "budget", "position"])
 
-        part = rows.mapInArrow(lambda b, piece=piece: in_batches(b, piece), SCHEMA)
+        part = rows.mapInArrow(lambda b, piece=piece, name=name: in_batches(b, piece, keeps=name), SCHEMA)
         found = part if found is None else found.unionAll(part)
     return spark.createDataFrame([], SCHEMA) if found is None else found
 
@@ -198,5 +198,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, text:
             keep = [not (t and matcher.of(folded(t))) for t in batch.column(text).to_pylist()]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-        docs = docs.mapInArrow(lambda b, piece=piece: in_batches(b, piece), docs.schema)
+        docs = docs.mapInArrow(lambda b, piece=piece, name=name: in_batches(b, piece, keeps=name), docs.schema)
     return docs

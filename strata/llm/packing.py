@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import in_batches, numbered
-from strata.llm.token_files import encoder
+from strata.llm.token_files import encoder, memory_of
 from strata.runtime import scratch_path
 
 LONGEST = 4096
@@ -73,7 +73,7 @@ def write_buckets(
         )
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    cuts = rows.mapInArrow(lambda batches: in_batches(batches, cut, 2 << 20), PIECES)
+    cuts = rows.mapInArrow(lambda batches: in_batches(batches, cut, 2 << 20, memory_of(vocabulary)), PIECES)
     cuts.write.partitionBy("length").option("compression", "zstd").parquet(folder)
     return buckets(spark, folder)
 

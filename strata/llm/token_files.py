@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import in_batches, stored, worker_memory
+from strata.llm.common import in_batches, release_memory, stored, worker_memory
 from strata.llm.store import put
 from strata.runtime import scratch_path
 
@@ -47,13 +47,20 @@ SELECTORS = {
 _COUNT = np.array([SELECTORS[s][0] for s in range(16)], np.int64)
 
 
-def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(words, wide ids, first word of each block, ids of each block) of unsigned 64-bit ids."""
-    ids = ids.astype(np.uint64, copy=False)
+def pack(ids: np.ndarray, step: int = 256 * BLOCK) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(words, wide ids, first word of each block, ids of each block) of unsigned 64-bit ids, ``step`` at a time."""
+    none, at = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    parts, n_words, n_wide = [(none, none, at, at)], 0, 0
+    for i in range(0, len(ids), step):
+        words, wide, first, sizes = _pack(ids[i : i + step].astype(np.uint64), n_wide)
+        parts.append((words, wide, first + n_words, sizes))
+        n_words, n_wide = n_words + len(words), n_wide + len(wide)
+    return tuple(np.concatenate(p) for p in zip(*parts))
+
+
+def _pack(ids: np.ndarray, n_wide: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """As ``pack``, of some ids, when ``n_wide`` wide ids came before."""
     n = len(ids)
-    if n == 0:
-        none = np.zeros(0, np.uint64)
-        return none, none, np.zeros(0, np.int64), np.zeros(0, np.int64)
     blocks = -(-n // BLOCK)
     sizes = np.full(blocks, BLOCK, np.int64)
     sizes[-1] = n - BLOCK * (blocks - 1)
@@ -96,7 +103,7 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
         count, width = SELECTORS[int(s)]
         if s == 0:
             wide = grid[block[which], start[which]]
-            words[which] |= np.arange(len(which), dtype=np.uint64) << np.uint64(4)
+            words[which] |= np.arange(n_wide, n_wide + len(which), dtype=np.uint64) << np.uint64(4)
             continue
         if s == 15:
             continue
@@ -122,8 +129,18 @@ def _needed(grid: np.ndarray) -> np.ndarray:
     return need
 
 
-def unpack(words: np.ndarray, wide: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The ids again; every word finds its place by sums alone."""
+def unpack(words: np.ndarray, wide: np.ndarray, first: np.ndarray, sizes: np.ndarray, step: int = 256) -> np.ndarray:
+    """The ids again, ``step`` blocks at a time."""
+    out = np.empty(int(sizes.sum()), np.uint64)
+    ends, edges = np.cumsum(sizes), np.append(first, len(words))
+    for i in range(0, len(sizes), step):
+        j = min(i + step, len(sizes))
+        out[ends[i] - sizes[i] : ends[j - 1]] = _unpack(words[edges[i] : edges[j]], wide, first[i:j] - edges[i], sizes[i:j])
+    return out
+
+
+def _unpack(words: np.ndarray, wide: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Ids of whole blocks; every word finds its place by sums alone."""
     total = int(sizes.sum())
     out = np.zeros(total, np.uint64)
     if not len(words):
@@ -222,7 +239,7 @@ class ChunkEncoder:
     characters in them, the half used most stays, without pieces of over 64 characters.
     """
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -352,9 +369,13 @@ def gather(starts: np.ndarray, lengths: np.ndarray, pool: np.ndarray, index: np.
     return pool[np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - n - starts[index], n)], ends
 
 
+def memory_of(path: str) -> str:
+    return f"pieces {path}"
+
+
 def encoder(path: str) -> ChunkEncoder:
     """One per Python worker, so that its memory of pieces lasts over tasks."""
-    return worker_memory(f"chunks {path}", lambda: ChunkEncoder(path))
+    return worker_memory(memory_of(path), lambda: ChunkEncoder(path))
 
 
 def write_tokens(
@@ -389,7 +410,7 @@ def write_tokens(
                 flush()
             yield from ()
 
-        for _ in in_batches(batches, piece, 2 << 20):
+        for _ in in_batches(batches, piece, 2 << 20, memory_of(vocabulary)):
             pass
         flush()
         columns = list(zip(*done)) or [[]] * 5
@@ -405,6 +426,7 @@ def read_tokens(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFr
     """(doc_id, start, n_tokens, ids_crc32) of each document, decoded from the files."""
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         for batch in batches:
             for path, data in zip(batch.column("path").to_pylist(), batch.column("content")):
                 doc_ids, counts, ids = read_file(data.as_py())

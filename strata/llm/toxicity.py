@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import id_remainder, in_batches, worker_memory
+from strata.llm.common import id_remainder, in_batches, release_memory, worker_memory
 
 ORDER = 6
 #: Orders up to this one are shared by both classes.
@@ -135,6 +135,7 @@ def gram_counts(rows: DataFrame) -> DataFrame:
     """(gram, toxic, ordinary): weighted character n-grams of the rows' expressions, counted by Spark."""
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         for batch in batches:
             seen: dict[str, list[int]] = {}
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
@@ -252,7 +253,7 @@ def evidence_of(rows: DataFrame, shared, keep: list[str]) -> DataFrame:
         scored = worker_memory(name, lambda: Evidence(shared.value)).of(batch.column("text").to_pylist())
         yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(scored)], names=[*keep, "__evidence"])
 
-    return rows.select(*keep, *[c for c in ["text"] if c not in keep]).mapInArrow(lambda batches: in_batches(batches, piece), schema)
+    return rows.select(*keep, *[c for c in ["text"] if c not in keep]).mapInArrow(lambda batches: in_batches(batches, piece, keeps=name), schema)
 
 
 def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
