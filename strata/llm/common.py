@@ -134,15 +134,20 @@ def id_bitmap(ids: DataFrame) -> np.ndarray:
     return summed_vector(ids.mapInArrow(count, "slice int, cells binary")) > 0
 
 
+def in_bitmap(bitmap: np.ndarray, ids: pa.Array) -> np.ndarray:
+    """Whether the bitmap may hold each BIGINT id; false for NULL."""
+    known = ids.is_valid().to_numpy(zero_copy_only=False)
+    values = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return bitmap[cell_of(values.view(np.uint64))] & known
+
+
 def maybe_in(bitmap, column: str) -> Column:
     """Whether the broadcast ``bitmap`` may hold the id: false is certain, NULL ids are false."""
 
     @F.arrow_udf("boolean")
     def test(ids: pa.Array) -> pa.Array:
         release_memory()
-        known = ids.is_valid().to_numpy(zero_copy_only=False)
-        values = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-        return pa.array(bitmap.value[cell_of(values.view(np.uint64))] & known)
+        return pa.array(in_bitmap(bitmap.value, ids))
 
     return test(F.col(column).cast("long"))
 

@@ -43,6 +43,7 @@ from strata.llm.common import (
     drop_ids,
     id_bitmap,
     in_batches,
+    in_bitmap,
     maybe_in,
     mixed,
     release_memory,
@@ -141,15 +142,23 @@ def copy_links(sizes: DataFrame) -> DataFrame:
     return stored(met.filter("a <> b").select("a", "b").distinct(), "copies")
 
 
-def prefixes(rows: DataFrame, counts: np.ndarray) -> DataFrame:
-    """(gram, salt, doc_id, n, pos): the rarest shingles of each document."""
-    shared = rows.sparkSession.sparkContext.broadcast(np.minimum(counts, 2**31 - 1).astype(np.int32))
+def prefixes(rows: DataFrame, counts: np.ndarray, without: DataFrame) -> DataFrame:
+    """(gram, salt, doc_id, n, pos): the rarest shingles of each document whose id is not in ``without``.
 
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Documents that a bitmap of these ids clears are taken where they stand, by the same Python
+    worker that cuts them; the others, most of them in ``without``, go through the exact join.
+    """
+    context = rows.sparkSession.sparkContext
+    shared = context.broadcast(np.minimum(counts, 2**31 - 1).astype(np.int32))
+    gone = context.broadcast(id_bitmap(without))
+
+    def emit(batches: Iterator[pa.RecordBatch], cleared: bool) -> Iterator[pa.RecordBatch]:
         release_memory()
         words, table = WordHashes(100_000), shared.value
 
         def piece(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            if cleared:
+                batch = batch.filter(pa.array(~in_bitmap(gone.value, batch.column("doc_id"))))
             grams, salts, ids, ns, poss = [], [], [], [], []
             for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 s = shingle_set(words.of(words_of(t))) if d is not None else ()
@@ -171,7 +180,10 @@ def prefixes(rows: DataFrame, counts: np.ndarray) -> DataFrame:
 
         yield from in_batches(batches, piece)
 
-    return rows.mapInArrow(emit, "gram long, salt int, doc_id long, n long, pos int")
+    schema = "gram long, salt int, doc_id long, n long, pos int"
+    clear = rows.mapInArrow(lambda batches: emit(batches, True), schema)
+    rest = rows.filter(maybe_in(gone, "doc_id")).join(without.toDF("__gone").distinct(), F.col("doc_id") == F.col("__gone"), "left_anti")
+    return clear.unionAll(rest.mapInArrow(lambda batches: emit(batches, False), schema))
 
 
 def passing(n1, p1, n2, p2):
@@ -262,13 +274,13 @@ def sets_of(rows: DataFrame, ids: DataFrame) -> DataFrame:
         words = WordHashes(100_000)
 
         def piece(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            batch = batch.filter(pa.array(in_bitmap(shared.value, batch.column("doc_id"))))
             got = [shingle_set(words.of(words_of(t))).astype("<u8").tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(got, pa.binary())], names=["doc_id", "grams"])
 
         yield from in_batches(batches, piece)
 
-    chosen = rows.filter(maybe_in(shared, "doc_id"))
-    return chosen.mapInArrow(build, "doc_id long, grams binary")
+    return rows.mapInArrow(build, "doc_id long, grams binary")
 
 
 _RANGES = (np.arange(1, 16, dtype=np.uint64) << np.uint64(60)).astype(np.uint64)
@@ -351,8 +363,7 @@ def _across(left: DataFrame, right: DataFrame, tested: DataFrame) -> DataFrame:
 def all_links(rows: DataFrame, sizes: DataFrame, counts: np.ndarray) -> DataFrame:
     """Links (a, b) that connect every component; pairs already in one component are not looked for again."""
     copies = copy_links(sizes)
-    different = drop_ids(rows, copies.select("a"), "doc_id")
-    spread = stored(candidates(prefixes(different, counts)), "candidates")
+    spread = stored(candidates(prefixes(rows, counts, copies.select("a"))), "candidates")
     pairs = spread.filter("gram IS NULL").select("a", "b").distinct()
     tested = verified(rows, pairs)
     links = copies.unionAll(tested.filter("ok").select("a", "b"))
