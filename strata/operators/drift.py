@@ -48,12 +48,12 @@ def psi(
 
 
 def ks(base: DataFrame, current: DataFrame, cols: str | Sequence[str], buckets: int | None = None) -> DataFrame:
-    """(column, ks): largest distance between the two empirical distribution functions."""
+    """(column, ks): largest distance between the two empirical distribution functions; NULL and NaN are missing."""
     cols = as_list(cols)
 
     def long(df: DataFrame, in_base: int) -> DataFrame:
         return (
-            df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+            df.select(*[clean_value(df, c).alias(c) for c in cols])
             .unpivot([], cols, "column", "value")
             .filter(F.col("value").isNotNull())
             .withColumn("in_base", F.lit(in_base))

@@ -100,12 +100,17 @@ def weighted_precision(
     )
 
 
+def _counted(label: str, score: str) -> Column:
+    """Rows that curves and areas see: labelled and scored; a NaN score is no score."""
+    return F.col(label).isNotNull() & F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double"))
+
+
 def score_counts(
     df: DataFrame, label: str, score: str, by: str | Sequence[str] = (), positive: int = 1
 ) -> DataFrame:
-    """(by, score, pos, neg): labelled, scored rows per distinct score; a NaN score is no score."""
+    """(by, score, pos, neg): labelled, scored rows per distinct score."""
     return (
-        df.filter(F.col(label).isNotNull() & F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
+        df.filter(_counted(label, score))
         .groupBy(*as_list(by), F.col(score).cast("double").alias("score"))
         .agg(
             F.count_if(F.col(label) == positive).alias("pos"),
@@ -162,7 +167,7 @@ def average_precision(df: DataFrame, label: str, score: str, by: str | Sequence[
 
 def _class_totals(df: DataFrame, label: str, score: str, by: list[str], positive: int) -> DataFrame:
     return (
-        df.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
+        df.filter(_counted(label, score))
         .groupBy(*[F.col(c).alias(f"__g_{c}") for c in by])
         .agg(
             F.count_if(F.col(label) == positive).cast("double").alias("__p"),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.clean import fill_constant
 from strata.operators.prefix import row_numbers
+from strata.operators.quantiles import clean_value
 from strata.runtime import as_list, attach, pin
 
 # Labels of a Spark ML indexer live on the driver and inside every task; ``index_strings`` has no such limit.
@@ -131,16 +132,16 @@ def one_hot_counts(df: DataFrame, cols: str | Sequence[str]) -> DataFrame:
 
 
 def standardize(df: DataFrame, cols: Sequence[str], center: bool = False, suffix: str = "_std") -> DataFrame:
-    """Add ``x / stddev_samp(x)`` per column (0.0 for a constant column)."""
+    """Add ``x / stddev_samp(x)`` per column (0.0 for a constant column); NaN is missing and becomes NULL."""
     stats = df.agg(
         F.struct(
-            *[F.stddev_samp(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(cols)],
-            *[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)],
+            *[F.stddev_samp(clean_value(df, c)).alias(f"s{i}") for i, c in enumerate(cols)],
+            *[F.avg(clean_value(df, c)).alias(f"m{i}") for i, c in enumerate(cols)],
         )
     ).scalar()
     new = {}
     for i, c in enumerate(cols):
-        v = F.col(c).cast("double")
+        v = clean_value(df, c)
         sd = stats.getField(f"s{i}")
         shifted = v - stats.getField(f"m{i}") if center else v
         new[f"{c}{suffix}"] = F.when(sd == 0, F.when(v.isNotNull(), F.lit(0.0))).otherwise(shifted / sd)

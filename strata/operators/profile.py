@@ -10,10 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType
 
+from strata.operators import comoments, sparse_bins
 from strata.operators.quantiles import clean_value, quantile_map
 from strata.runtime import as_list
 
 EXPRESSIONS_PER_PASS = 200
+#: An automatic histogram lays out its empty bins up to this number.
+GRID_BINS = 10_000
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -96,10 +99,10 @@ def top_missing(df: DataFrame, n: int = 5) -> DataFrame:
 
 
 def scalar_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(column, avg, min, max), NULL ignored."""
+    """(column, avg, min, max), NULL and NaN ignored."""
     stats = {}
     for c in cols:
-        v = F.col(c).cast("double")
+        v = clean_value(df, c)
         stats[c] = {"avg": F.avg(v), "min": F.min(v), "max": F.max(v)}
     return _per_column(df, stats)
 
@@ -198,31 +201,30 @@ def tail_outliers(
     return _per_column(df, stats)
 
 
-def _pearson(a: str, b: str) -> Column:
-    """Pearson r over rows where both are present; NULL when either is constant there.
+def _pearson(x: Column, y: Column) -> Column:
+    """Pearson r over rows where both are present; NULL when either is constant or infinite there.
 
     Built from moments because ``corr`` divides by zero on a constant column in ANSI mode.
     """
-    x, y = F.col(a).cast("double"), F.col(b).cast("double")
     spread = F.sqrt(F.var_pop(F.when(y.isNotNull(), x)) * F.var_pop(F.when(x.isNotNull(), y)))
-    return F.try_divide(F.covar_pop(x, y), spread)
+    return F.nanvl(F.try_divide(F.covar_pop(x, y), spread), F.lit(None).cast("double"))
 
 
 def correlation(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Pearson correlation of every ordered pair, rows with a NULL dropped pairwise.
+    """(a, b, r): Pearson correlation of every ordered pair, rows with a NULL or NaN dropped pairwise.
 
-    Each unordered pair is computed once; wide tables take one pass per block of pairs.
+    Few columns are one aggregate of generated code; more than ``EXPRESSIONS_PER_PASS`` pairs go
+    to the tiled co-moments of ``comoments``, which read a table of any width once.
     """
     cols = as_list(cols) if cols else numeric_columns(df)
     pairs = [*combinations(cols, 2), *[(c, c) for c in cols]]
-    parts = []
-    for i in range(0, len(pairs), EXPRESSIONS_PER_PASS):
-        rows = [
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), _pearson(a, b).alias("r"))
-            for a, b in pairs[i : i + EXPRESSIONS_PER_PASS]
-        ]
-        parts.append(df.agg(F.array(*rows).alias("rows")).select(F.inline("rows")))
-    half = reduce(DataFrame.unionAll, parts)
+    if len(pairs) > EXPRESSIONS_PER_PASS:
+        return comoments.correlations(df, cols).select("a", "b", "r")
+    rows = [
+        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), _pearson(clean_value(df, a), clean_value(df, b)).alias("r"))
+        for a, b in pairs
+    ]
+    half = df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
     both = F.when(F.col("a") == F.col("b"), F.array(F.struct("a", "b", "r"))).otherwise(
         F.array(F.struct("a", "b", "r"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "r"))
     )
@@ -230,59 +232,59 @@ def correlation(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 
 def auto_bins(df: DataFrame, col: str, accuracy: int | None = None) -> int:
-    """Bin count from the finer of the Sturges and Freedman-Diaconis widths."""
-    q1, q3 = quantile_map(df, [col], [0.25, 0.75], accuracy)[col]
-    v = F.col(col).cast("double")
-    row = df.agg(
-        F.count(v).alias("n"), (F.max(v) - F.min(v)).alias("span")
-    ).select(
-        "span",
-        F.try_divide(F.col("span"), F.log2("n") + 1).alias("sturges"),
-        F.try_divide(F.lit(2.0 * ((q3 or 0.0) - (q1 or 0.0))), F.cbrt("n")).alias("fd"),
-    ).first()
-    if not row["span"]:
-        return 1
-    width = min(w for w in (row["sturges"], row["fd"]) if w)
-    return max(1, int(-(-row["span"] // width)))
+    """Bin count from the finer of the Sturges and Freedman-Diaconis widths, over the finite values."""
+    return sparse_bins.Spread.of(df, col, accuracy).bins()
 
 
 def histogram(df: DataFrame, col: str, bins: int | str = 20) -> DataFrame:
-    """(bin, low, high, n): equal-width bins over the observed range, empty bins included.
+    """(bin, low, high, n): equal-width bins over the finite range, empty bins included.
 
-    ``bins="auto"`` picks the number from the data.
+    ``bins="auto"`` picks the number from the data; more than ``GRID_BINS`` of them are not laid
+    out, the occupied ones are returned then.  NULL and NaN are missing; infinite values, where
+    there are any, are counted in rows with a NULL bin whose edges are both that infinity.
     """
     if bins == "auto":
         bins = auto_bins(df, col)
-    v = F.col(col).cast("double")
-    ends = df.agg(F.struct(F.min(v).alias("lo"), F.max(v).alias("hi"))).scalar()
+        if bins > GRID_BINS:
+            return sparse_bins.histogram(df, col, bins)
+    v = clean_value(df, col)
+    finite = sparse_bins.finite_value(df, col)
+    far = F.abs(v) == F.lit(float("inf"))
+    ends = df.agg(F.struct(F.min(finite).alias("lo"), F.max(finite).alias("hi"))).scalar()
     lo = ends.getField("lo")
     width = (ends.getField("hi") - lo) / F.lit(float(bins))
     # A constant column has width 0 and falls into the first bin; ``least`` would skip the NULL.
-    place = F.coalesce(F.floor(F.try_divide(v - lo, width)), F.lit(0).cast("long"))
-    index = F.least(place, F.lit(bins - 1).cast("long"))
+    place = F.coalesce(F.floor(F.try_divide(finite - lo, width)), F.lit(0).cast("long"))
+    index = F.when(far, F.when(v > 0, bins).otherwise(-1)).otherwise(F.least(place, F.lit(bins - 1).cast("long")))
     counts = (
         df.filter(v.isNotNull())
         .select(index.alias("bin"))
         .groupBy("bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    grid = df.sparkSession.range(bins).withColumnRenamed("id", "bin")
-    return grid.join(counts, "bin", "left").select(
-        F.col("bin").cast("int").alias("bin"),
-        (lo + F.col("bin") * width).alias("low"),
-        (lo + (F.col("bin") + 1) * width).alias("high"),
-        F.coalesce("n", F.lit(0).cast("long")).alias("n"),
+    grid = df.sparkSession.range(-1, bins + 1).withColumnRenamed("id", "bin")
+    inner = F.col("bin").between(0, bins - 1)
+    side = F.when(F.col("bin") < 0, F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
+    return (
+        grid.join(counts, "bin", "left")
+        .filter(inner | F.col("n").isNotNull())
+        .select(
+            F.when(inner, F.col("bin")).cast("int").alias("bin"),
+            F.when(inner, lo + F.col("bin") * width).otherwise(side).alias("low"),
+            F.when(inner, lo + (F.col("bin") + 1) * width).otherwise(side).alias("high"),
+            F.coalesce("n", F.lit(0).cast("long")).alias("n"),
+        )
     )
 
 
 def density(df: DataFrame, col: str, points: int = 50, bins: int = 200, bandwidth: float | None = None) -> DataFrame:
-    """(point, x, density): Gaussian kernel density on an even grid.
+    """(point, x, density): Gaussian kernel density on an even grid over the finite range.
 
     Rows are first counted into ``bins`` narrow bins; the kernel runs over bin centres, so
     its cost is bins x points whatever the table size.  The default bandwidth is Scott's,
-    ``stddev * n ** (-1/5)``.
+    ``stddev * n ** (-1/5)``.  With values far from the rest, take ``sparse_bins.density``.
     """
-    v = F.col(col).cast("double")
+    v = sparse_bins.finite_value(df, col)
     stats = df.agg(
         F.struct(
             F.min(v).alias("lo"), F.max(v).alias("hi"), F.count(v).alias("n"), F.stddev_samp(v).alias("sd")
@@ -295,7 +297,7 @@ def density(df: DataFrame, col: str, points: int = 50, bins: int = 200, bandwidt
     centre = (F.col("low") + F.col("high")) / 2
     return (
         histogram(df, col, bins)
-        .filter(F.col("n") > 0)
+        .filter((F.col("n") > 0) & F.col("bin").isNotNull())
         .select(centre.alias("centre"), "n", point.alias("point"))
         .withColumn("x", lo + F.col("point") * (hi - lo) / F.lit(float(points - 1)))
         .withColumn("z", F.try_divide(F.col("x") - F.col("centre"), h))

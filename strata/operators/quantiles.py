@@ -9,8 +9,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from strata.operators.radix import values_at
 from strata.runtime import as_list
 
+#: Rows of an interval that are ranked by one window; larger intervals are narrowed by counts.
+DIRECT_ROWS = 1_000_000
 SKETCH_ACCURACY = 10_000
 COLUMNS_PER_PASS = 50
 
@@ -90,6 +93,7 @@ def quantiles(
     ps: Sequence[float],
     accuracy: int | None = None,
     interpolate: bool = True,
+    method: str = "sketch",
 ) -> DataFrame:
     """(column, p, quantile) for every column and probability.
 
@@ -98,9 +102,12 @@ def quantiles(
     1. one pass sketches, per column, an interval that should hold each wanted rank;
     2. one pass counts the rows at and between the interval ends;
     3. only the rows of the interval that really holds the rank are shuffled, as counts
-       per distinct value.  Ranks that hit an interval end need no third pass.
+       per distinct value.  Ranks that hit an interval end need no third pass.  An interval of
+       more than ``DIRECT_ROWS`` rows, by the counts of step 2, is narrowed by ``radix`` counts
+       instead, so no task gets the interval.
 
     The counts of step 2 are exact, so a poor sketch makes step 3 larger, never wrong.
+    ``method="radix"`` leaves the sketch out: the whole column is the interval.
     What reaches the driver is two counts per interval end.  With an integer the sketch
     itself is the answer (rank error at most 1/accuracy), in one pass.
 
@@ -115,11 +122,17 @@ def quantiles(
         rows = [(c, float(p), found[c][1][i] if found[c][0] else None) for c in cols for i, p in enumerate(ps)]
         return spark.createDataFrame(rows, _RESULT)
 
-    margin = 2.0 / SKETCH_ACCURACY
-    points = [q for p in ps for q in (max(p - margin, 0.0), min(p + margin, 1.0))]
-    found = _sketch(df, cols, points, SKETCH_ACCURACY)
-    bounds = {c: sorted(set(found[c][1])) for c in cols if found[c][0]}
-    counts = _counts_by_position(df, bounds) if bounds else {}
+    if method == "radix":
+        row = df.agg(*[F.count(c) for c in cols]).first()
+        found = {c: (row[j], []) for j, c in enumerate(cols)}
+        bounds = {c: [] for c in cols}
+        counts = {c: {0: found[c][0]} for c in cols}
+    else:
+        margin = 2.0 / SKETCH_ACCURACY
+        points = [q for p in ps for q in (max(p - margin, 0.0), min(p + margin, 1.0))]
+        found = _sketch(df, cols, points, SKETCH_ACCURACY)
+        bounds = {c: sorted(set(found[c][1])) for c in cols if found[c][0]}
+        counts = _counts_by_position(df, bounds) if bounds else {}
 
     known: list[tuple] = []      # column, p, is_upper, weight, value
     wanted: list[tuple] = []     # column, p, is_upper, weight, interval, rank inside it
@@ -144,11 +157,18 @@ def quantiles(
                     where = intervals.setdefault((c, at), len(intervals))
                     wanted.append((*side, where, rank - before))
 
+    large = {i for (c, at), i in intervals.items() if method == "radix" or counts[c][at] > DIRECT_ROWS}
+    if large:
+        # a row per wanted rank: what the caller asked for
+        far = {w: (w[4], w[5]) for w in wanted if w[4] in large}
+        known += [(*w[:4], v) for w, v in values_at(_inside(df, bounds, intervals, large), far).items()]
+        wanted = [w for w in wanted if w[4] not in large]
     ends = spark.createDataFrame(
         known, "`column` string, p double, is_upper boolean, weight double, value double"
     )
     if wanted:
-        ends = ends.unionByName(_pick(df, bounds, intervals, wanted))
+        near = set(intervals.values()) - large
+        ends = ends.unionByName(_pick(df, bounds, intervals, wanted, near))
     at = lambda upper: F.max(F.when(F.col("is_upper") == upper, F.col("value")))
     return (
         ends.groupBy("column", "p")
@@ -162,21 +182,28 @@ def quantiles(
     )
 
 
-def _pick(
-    df: DataFrame, bounds: dict[str, list[float]], intervals: dict[tuple[str, int], int], wanted: list[tuple]
-) -> DataFrame:
-    """Values at given ranks inside given open intervals."""
+def _inside(df: DataFrame, bounds: dict[str, list[float]], intervals: dict[tuple[str, int], int], which: set[int]) -> DataFrame:
+    """(slot, value) of the rows inside the open intervals numbered in ``which``."""
     hits = []
-    for c in dict.fromkeys(c for c, _ in intervals):
-        leaf = lambda at, c=c: F.lit(intervals.get((c, at))).cast("int")
+    for c in dict.fromkeys(c for (c, _), i in intervals.items() if i in which):
+
+        def leaf(at: int, c: str = c) -> Column:
+            i = intervals.get((c, at))
+            return F.lit(i if i in which else None).cast("int")
+
         hits.append((_locate(F.col(c), bounds[c], leaf), F.col(c)))
-    counts = (
+    return (
         df.filter(F.coalesce(*[where for where, _ in hits]).isNotNull())
-        .select(F.inline(F.array(*[F.struct(w.alias("interval"), v.alias("value")) for w, v in hits])))
-        .filter(F.col("interval").isNotNull())
-        .groupBy("interval", "value")
-        .count()
+        .select(F.inline(F.array(*[F.struct(w.alias("slot"), v.alias("value")) for w, v in hits])))
+        .filter(F.col("slot").isNotNull())
     )
+
+
+def _pick(
+    df: DataFrame, bounds: dict[str, list[float]], intervals: dict[tuple[str, int], int], wanted: list[tuple], which: set[int]
+) -> DataFrame:
+    """Values at given ranks inside given open intervals."""
+    counts = _inside(df, bounds, intervals, which).groupBy(F.col("slot").alias("interval"), "value").count()
     upto = Window.partitionBy("interval").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     ranked = counts.withColumn("upto", F.sum("count").over(upto))
     # One row per column, probability and side: as many as the caller asked for.
@@ -198,8 +225,9 @@ def quantile_map(
     ps: Sequence[float],
     accuracy: int | None = None,
     interpolate: bool = True,
+    method: str = "sketch",
 ) -> dict[str, list[float | None]]:
     """The same as plain numbers: one list per column in the order of ``ps``."""
     cols = as_list(cols)
-    got = {(r["column"], r["p"]): r["quantile"] for r in quantiles(df, cols, ps, accuracy, interpolate).collect()}
+    got = {(r["column"], r["p"]): r["quantile"] for r in quantiles(df, cols, ps, accuracy, interpolate, method).collect()}
     return {c: [got[(c, float(p))] for p in ps] for c in cols}

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
-from strata.operators import profile, quantiles
+from strata.operators import comoments, profile, quantiles, sparse_bins
 from strata.operators.contracts import Rule, contract_check, leak_audit
 from strata.plans.catalog.registry import query
 from strata.plans.loan_view import LOAN_VIEW_SQL, loan_view, table
@@ -162,6 +164,13 @@ def quantiles_nearest_rank(spark, sf):
     return _rounded(got, 6, "quantile")
 
 
+@query(_quantile_sql("quantile_cont", "lineitem", LINE_NUMBERS, _PS))
+def quantiles_radix(spark, sf):
+    """The same by counts of key digits alone: nothing is sketched, and no task gets an interval."""
+    got = quantiles.quantiles(table(spark, sf, "lineitem"), LINE_NUMBERS, _PS, method="radix")
+    return _rounded(got, 6, "quantile")
+
+
 @query()
 def quantiles_sketch(spark, sf):
     return quantiles.quantiles(table(spark, sf, "lineitem"), LINE_NUMBERS, _PS, accuracy=10_000)
@@ -232,6 +241,34 @@ def correlation(spark, sf):
     return _rounded(profile.correlation(table(spark, sf, "lineitem"), LINE_NUMBERS), 6, "r")
 
 
+def _wide_columns() -> dict[str, str]:
+    """141 columns of the embeddings as SQL of either engine: parts, shifted parts and products, with gaps planted."""
+    part = [f"CAST(embedding[{{{i}}}] AS DOUBLE)" for i in range(64)]
+    made = {f"e{i}": p for i, p in enumerate(part)}
+    made |= {f"s{i}": f"100 + {p} * {i + 1}" for i, p in enumerate(part)}
+    made |= {f"p{i}": f"{part[i]} * {part[i + 1]}" for i in range(13)}
+    gap = "CASE WHEN (vec_id + {k}) % 10 = 0 THEN NULL WHEN (vec_id + {k}) % 17 = 0 THEN CAST('NaN' AS DOUBLE) ELSE {v} END"
+    return {c: gap.replace("{k}", str(k)).replace("{v}", v) for k, (c, v) in enumerate(made.items())}
+
+
+def _indexed(sql: str, base: int) -> str:
+    """Array positions, counted from 0 in Spark and from 1 in the oracle."""
+    return re.sub(r"\[\{(\d+)\}\]", lambda m: f"[{int(m[1]) + base}]", sql)
+
+
+@query(
+    "WITH w AS (SELECT vec_id, unnest([" + ", ".join(f"'{c}'" for c in _wide_columns()) + "]) AS c, unnest(["
+    + ", ".join(_indexed(v, 1) for v in _wide_columns().values())
+    + """]) AS v FROM embeddings), g AS (SELECT * FROM w WHERE v IS NOT NULL AND NOT isnan(v))
+SELECT x.c AS a, y.c AS b, count(*) AS n, round(corr(x.v, y.v), 5) AS r
+FROM g x JOIN g y ON x.vec_id = y.vec_id GROUP BY 1, 2"""
+)
+def correlation_wide(spark, sf):
+    """All ordered pairs of 141 columns in one scan, NULL and NaN dropped pairwise."""
+    wide = table(spark, sf, "embeddings").selectExpr(*[f"{_indexed(v, 0)} AS {c}" for c, v in _wide_columns().items()])
+    return _rounded(comoments.correlations(wide, wide.columns), 5, "r")
+
+
 _HISTOGRAM_SQL = """
 WITH e AS (SELECT min(value) AS lo, max(value) AS hi FROM events),
 c AS (SELECT CAST(least(floor((value - lo) / ((hi - lo) / {bins})), {bins} - 1) AS INTEGER) AS bin, count(*) AS n
@@ -279,6 +316,43 @@ def density(spark, sf):
     return _rounded(_rounded(got, 6, "x"), 8, "density")
 
 
+#: Values with gaps, infinities and a far tail planted, as SQL of either engine.
+_TAIL = """CASE event_id % 1000 WHEN 0 THEN 1e12 WHEN 1 THEN CAST('NaN' AS DOUBLE) WHEN 2 THEN CAST('Infinity' AS DOUBLE)
+  WHEN 3 THEN NULL WHEN 4 THEN CAST('-Infinity' AS DOUBLE) ELSE value END"""
+
+_TAIL_SQL = f"""
+WITH t AS (SELECT {_TAIL} AS v FROM events), f AS (SELECT v FROM t WHERE isfinite(v)),
+e AS (SELECT min(v) AS lo, max(v) AS hi, count(*) AS n, stddev_samp(v) AS sd, quantile_cont(v, 0.75) - quantile_cont(v, 0.25) AS iqr FROM f)"""
+
+
+@query(
+    _TAIL_SQL
+    + """, b AS (SELECT lo, hi, CAST(ceil((hi - lo) / least((hi - lo) / (log2(n) + 1), 2 * iqr / cbrt(n))) AS BIGINT) AS bins FROM e),
+w AS (SELECT lo, bins, (hi - lo) / bins AS width FROM b)
+SELECT CAST(least(floor((v - lo) / width), bins - 1) AS BIGINT) AS bin, round(any_value(lo) + bin * any_value(width), 2) AS low,
+  round(any_value(lo) + (bin + 1) * any_value(width), 2) AS high, count(*) AS n FROM f, w GROUP BY 1
+UNION ALL SELECT NULL, v, v, count(*) FROM t WHERE isinf(v) GROUP BY v"""
+)
+def histogram_heavy_tail(spark, sf):
+    """Automatic bins with values far out: some 10^10 bins, of which the occupied ones exist."""
+    rows = table(spark, sf, "events").selectExpr(f"{_TAIL} AS v")
+    return _rounded(profile.histogram(rows, "v", "auto"), 2, "low", "high")
+
+
+@query(
+    _TAIL_SQL
+    + """, h AS (SELECT lo, n, greatest(0.9 * least(sd, iqr / 1.349) * pow(n, -0.2), (hi - lo) / 1125899906842624) AS h FROM e),
+c AS (SELECT (floor((v - lo) / (h / 8)) + 0.5) * ((h / 8) / (h / 2)) AS centre, count(*) AS k FROM f, h GROUP BY 1),
+p AS (SELECT centre, k, unnest(range(CAST(ceil(centre - 8) AS BIGINT), CAST(floor(centre + 8) AS BIGINT) + 1)) AS point FROM c)
+SELECT point, round(any_value(lo) + point * (any_value(h) / 2), 2) AS x,
+  round(sum(k * exp(-0.5 * pow((point - centre) * 0.5, 2))) / any_value(n * h * sqrt(2 * pi())), 8) AS density FROM p, h GROUP BY point"""
+)
+def density_heavy_tail(spark, sf):
+    """A kernel density near the occupied cells, which far values neither widen nor lengthen."""
+    rows = table(spark, sf, "events").selectExpr(f"{_TAIL} AS v")
+    return _rounded(_rounded(sparse_bins.density(rows, "v"), 2, "x"), 8, "density")
+
+
 @query(
     "WITH "
     + LOAN_VIEW_SQL
