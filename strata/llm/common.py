@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import zlib
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +35,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared scratch folder and read from there: lineage ends here."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, limit_bytes: int = 4 << 20):
+    """Batches between the JVM and Python of at most ``limit_bytes`` (or a row): both sides hold some at a time."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, f"{limit_bytes}b")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def empty_like(spark: SparkSession, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema)
 

@@ -116,7 +116,8 @@ def sizes_and_counts(rows: DataFrame) -> tuple[DataFrame, np.ndarray]:
                     seen.add(key)
                     found.append(s)
             if found:
-                counts[:] += np.bincount(cell_of(np.concatenate(found)), minlength=CELLS)
+                cells, times = np.unique(cell_of(np.concatenate(found)), return_counts=True)
+                counts[cells] += times
             n = batch.num_rows
             halves = np.frombuffer(b"".join(keys), "<i8").reshape(n, 2)
             yield pa.RecordBatch.from_arrays(
@@ -124,7 +125,7 @@ def sizes_and_counts(rows: DataFrame) -> tuple[DataFrame, np.ndarray]:
                 names=names,
             )
 
-        yield from in_batches(batches, piece)
+        yield from in_batches(batches, piece, 2 << 20)
         slices, cells = vector_rows(counts)
         none = pa.nulls(len(slices), pa.int64())
         yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(slices, pa.int32()), pa.array(cells, pa.binary())], names=names)
