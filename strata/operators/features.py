@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import PCA, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import PCA, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +25,39 @@ def complete_features(df: DataFrame, numeric: Sequence[str], categorical: Sequen
     return fill_constant(df, "missing", categorical) if categorical else df
 
 
+#: What a filled feature is called beside its raw column.
+FILLED = "_full"
+
+
+def fill_stage(numeric: Sequence[str], categorical: Sequence[str], number: float = 0.0, text: str = "missing") -> SQLTransformer:
+    """Filling as a stage that is stored with its model: ``complete_features`` for rows as they arrive.
+
+    Each feature gets a column of its own next to the raw one, so keys, labels and raw values pass
+    through.  Text that is no number, NaN and NULL count as missing; infinity does as well, since
+    a model cannot place it.
+    """
+    quoted = lambda c: "`" + c.replace("`", "``") + "`"
+    made = []
+    for c in numeric:
+        v = f"try_cast({quoted(c)} AS DOUBLE)"
+        made.append(f"CASE WHEN abs({v}) < double('infinity') THEN {v} ELSE {float(number)!r} END AS {quoted(c + FILLED)}")
+    literal = "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    made += [f"coalesce(CAST({quoted(c)} AS STRING), {literal}) AS {quoted(c + FILLED)}" for c in categorical]
+    return SQLTransformer(statement=f"SELECT *, {', '.join(made)} FROM __THIS__")
+
+
+def raw_stages(numeric: Sequence[str], categorical: Sequence[str], *last, **encoding) -> list:
+    """Fill, index, one-hot, assemble, and then ``last``: a pipeline that fits and scores raw rows.
+
+    A label that was not seen in fitting shares an index with no other label, so it never ends a job or a stream.
+    """
+    return [
+        fill_stage(numeric, categorical),
+        *encoder_stages([c + FILLED for c in numeric], [c + FILLED for c in categorical], **encoding),
+        *last,
+    ]
+
+
 def check_cardinality(df: DataFrame, categorical: Sequence[str], max_labels: int = MAX_LABELS) -> None:
     """Refuse to index a near-unique text column; collapse it with ``top_k_categories`` first."""
     row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first().asDict()

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from strata.operators import evaluate, features, models, sampling
 from strata.plans import clustering, training
 from strata.plans.catalog.registry import query
-from strata.plans.loan_view import LABEL_SOURCES, loan_view, table
+from strata.plans.loan_view import LABEL_SOURCES, LOAN_VIEW_SQL, loan_view, table
 from strata.runtime import pin, scratch_path
 from strata.sources import load_model, save_model, write_table
 from strata.streaming import read_stream, score_stream
@@ -169,6 +169,61 @@ def stream_score(spark, sf):
     return spark.read.parquet(out)
 
 
+def raw_loans(spark, sf):
+    """Loan rows as they arrive: rates as text, gaps, a NaN, an infinity and a grade that no training row has."""
+    broken = F.when(F.col(KEY) % 97 == 0, F.lit(float("nan"))).when(F.col(KEY) % 89 == 0, F.lit(float("inf")))
+    return (
+        model_table(spark, sf)
+        .withColumn("int_rate", F.when(F.col(KEY) % 11 == 0, F.lit("n/a")).otherwise(F.col("int_rate").cast("string")))
+        .withColumn("annual_inc", F.coalesce(broken, F.when(F.col(KEY) % 83 != 0, F.col("annual_inc"))))
+        .withColumn("grade", F.when(F.col(KEY) % 101 == 5, F.lit("unseen")).when(F.col(KEY) % 103 != 0, F.col("grade")))
+    )
+
+
+def _raw_forest(spark, sf) -> str:
+    """Where a forest over raw rows is stored; it is fitted without the rows of the new grade."""
+    rows = raw_loans(spark, sf).filter("grade IS NULL OR grade <> 'unseen'")
+    held = rows.persist()
+    try:
+        model = Pipeline(stages=features.raw_stages(NUMERIC, CATEGORICAL, models.classifier("RandomForest", LABEL))).fit(held)
+    finally:
+        held.unpersist()
+    return save_model(model, scratch_path(spark, "raw-forest"))
+
+
+_RAW_SCORE_SQL = "WITH " + LOAN_VIEW_SQL + "\nSELECT loan_id, TRUE AS in_range, TRUE AS by_threshold, {more} FROM lv"
+
+
+def _checked(scored):
+    """A score lies between 0 and 1, and decides the prediction at one half."""
+    by_threshold = F.col("prediction") == F.when(F.col("score") > 0.5, 1).otherwise(0)
+    return scored.withColumns({"in_range": F.coalesce(F.col("score").between(0, 1), F.lit(False)), "by_threshold": F.coalesce(by_threshold, F.lit(False))})
+
+
+@query(_RAW_SCORE_SQL.format(more="grade_seen") .replace("FROM lv", "FROM (SELECT *, loan_id % 101 <> 5 AS grade_seen FROM lv)"))
+def batch_score_raw(spark, sf):
+    """A stored pipeline over raw rows: every row is scored, whatever it lacks."""
+    model = load_model(_raw_forest(spark, sf))
+    seen = ~F.col("grade").eqNullSafe("unseen")
+    return _checked(models.score(model, raw_loans(spark, sf).withColumn("grade_seen", seen), [KEY, "grade_seen"])).select(
+        KEY, "in_range", "by_threshold", "grade_seen"
+    )
+
+
+@query(_RAW_SCORE_SQL.format(more="TRUE AS as_batch"))
+def stream_score_raw(spark, sf):
+    """The same pipeline over arriving files of raw rows; scores equal those of the batch."""
+    model = load_model(_raw_forest(spark, sf))
+    rows = raw_loans(spark, sf)
+    inbox, out = scratch_path(spark, "raw-inbox"), scratch_path(spark, "raw-scored")
+    write_table(rows, inbox, files=4)
+    stream = read_stream(spark, inbox, rows.schema, max_files=2)
+    score_stream(stream, model, [KEY], out, scratch_path(spark, "raw-progress")).awaitTermination()
+    batch = models.score(model, spark.read.schema(rows.schema).parquet(inbox), [F.col(KEY).alias("__id")]).select("__id", F.col("score").alias("__score"))
+    both = _checked(spark.read.parquet(out)).join(batch, F.col(KEY) == F.col("__id"), "left")
+    return both.select(KEY, "in_range", "by_threshold", F.coalesce(F.col("score") == F.col("__score"), F.lit(False)).alias("as_batch"))
+
+
 SEGMENT_EXCLUDE = [KEY, LABEL, *LABEL_SOURCES]
 
 
