@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import zlib
 from collections.abc import Callable, Iterator
@@ -88,11 +89,20 @@ def worker_memory(name: str, make: Callable[[], object]):
 
 
 def release_memory(keeps: str | None = None) -> None:
-    """Let go of what earlier stages keep, when a task starts that keeps nothing or another thing."""
+    """Let go of what earlier stages keep, when a task starts that keeps nothing or another thing.
+
+    Freed memory goes back to the system: executors count what their workers hold, not what they use.
+    """
     if _memory and keeps not in _memory:
         _memory.clear()
         gc.collect()
-        pa.default_memory_pool().release_unused()
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
+#: Returns free heap pages; only some C libraries have it.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -163,7 +173,8 @@ def maybe_in(bitmap, column: str) -> Column:
 
     @F.arrow_udf("boolean")
     def test(ids: pa.Array) -> pa.Array:
-        release_memory()
+        if _memory:
+            release_memory()
         return pa.array(in_bitmap(bitmap.value, ids))
 
     return test(F.col(column).cast("long"))

@@ -305,7 +305,6 @@ def linked(a: bytes, b: bytes) -> bool:
 
 @F.arrow_udf(BooleanType())
 def _linked(a: pa.Array, b: pa.Array) -> pa.Array:
-    release_memory()
     return pa.array([linked(x.as_buffer(), y.as_buffer()) for x, y in zip(a, b)], pa.bool_())
 
 
