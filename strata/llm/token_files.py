@@ -37,7 +37,7 @@ from strata.runtime import scratch_path
 
 MAGIC = b"S8BTOK01"
 BLOCK = 1024
-FILE_IDS = 2_000_000
+FILE_IDS = 1_000_000
 END_ID = 1
 #: Selector -> (ids in a word, bits of each).  Selector 0 is the escape, 15 a run of zeros.  Fixed values.
 SELECTORS = {
@@ -239,7 +239,7 @@ class ChunkEncoder:
     characters in them, the half used most stays, without pieces of over 64 characters.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 250_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
