@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import id_remainder, in_batches, release_memory, worker_memory
+from strata.llm.common import id_remainder, in_batches, small_batches, worker_memory
 
 ORDER = 6
 #: Orders up to this one are shared by both classes.
@@ -135,8 +135,7 @@ def gram_counts(rows: DataFrame) -> DataFrame:
     """(gram, toxic, ordinary): weighted character n-grams of the rows' expressions, counted by Spark."""
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release_memory()
-        for batch in batches:
+        def piece(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             seen: dict[str, list[int]] = {}
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
                 for w in expressions(text):
@@ -149,6 +148,8 @@ def gram_counts(rows: DataFrame) -> DataFrame:
                 }
             )
 
+        yield from in_batches(batches, piece, 1 << 20)
+
     counted = rows.select("text", "toxic").mapInArrow(words, "word string, toxic long, ordinary long")
     counted = counted.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
     marked = F.concat(F.lit("\x02"), F.col("word"), F.lit("\x03"))
@@ -170,7 +171,8 @@ def gram_counts(rows: DataFrame) -> DataFrame:
 
 def fit(rows: DataFrame) -> Model:
     """Kneser-Ney tables from the n-gram counts of bounded labelled rows."""
-    got = gram_counts(rows).toArrow()
+    with small_batches(rows.sparkSession):
+        got = gram_counts(rows).toArrow()
     grams = got.column("gram").to_pylist()
     raw = np.stack([got.column("toxic").to_numpy(), got.column("ordinary").to_numpy()], axis=1).astype(float)
     index = {g: i for i, g in enumerate(grams)}
@@ -277,7 +279,8 @@ def score(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_LABELLED) -> D
     rows = training_rows(docs, labels, max_rows)
     model = fit(rows.filter("fold < 3"))
     shared = spark.sparkContext.broadcast(model)
-    seen = evidence_of(rows.filter("fold = 3"), shared, ["toxic"]).toArrow()
+    with small_batches(spark):
+        seen = evidence_of(rows.filter("fold = 3"), shared, ["toxic"]).toArrow()
     y = seen.column("toxic").to_numpy().astype(float)
     both = len(y) and 0 < y.sum() < len(y)
     slope, offset = logistic(seen.column("__evidence").to_numpy(), y) if both else (0.0, -30.0)
@@ -299,7 +302,8 @@ def clean(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_LABELLED) -> D
     spark = docs.sparkSession
     rows = training_rows(docs, labels, max_rows)
     shared = spark.sparkContext.broadcast(fit(rows.filter("fold < 3")))
-    seen = evidence_of(rows.filter("fold = 3"), shared, ["toxic"]).toArrow()
+    with small_batches(spark):
+        seen = evidence_of(rows.filter("fold = 3"), shared, ["toxic"]).toArrow()
     y = seen.column("toxic").to_numpy().astype(float)
     if not (len(y) and 0 < y.sum() < len(y)):
         return docs
