@@ -76,21 +76,52 @@ def string_indexer(cols: Sequence[str], suffix: str = "_idx") -> StringIndexer:
     )
 
 
+def label_table(df: DataFrame, col: str) -> DataFrame:
+    """(__label, __rows, __rank) of every label: rows that have it, and its rank by frequency (ties by value); stored."""
+    counts = df.groupBy(F.col(col).cast("string").alias("__label")).agg(F.count(F.lit(1)).alias("__rows")).filter("__label IS NOT NULL")
+    ranked = row_numbers(counts.withColumn("__rare", -F.col("__rows")), ["__rare", "__label"], "__rank")
+    return pin(ranked.select("__label", "__rows", "__rank"))
+
+
+def _indexed(df: DataFrame, cols: Sequence[str], suffix: str) -> tuple[DataFrame, list[int]]:
+    """``df`` with the index of each column, and how many labels each has."""
+    out, labels = df, []
+    for c in cols:
+        ranked = label_table(df, c)
+        labels.append(ranked.count())
+        found = attach(out.withColumn("__label", F.col(c).cast("string")), ranked, "__label", "__rows")
+        index = F.coalesce("__rank", F.lit(labels[-1])).cast("double")
+        out = found.withColumn(f"{c}{suffix}", index).drop("__label", "__rows", "__rank")
+    return out, labels
+
+
 def index_strings(df: DataFrame, cols: str | Sequence[str], suffix: str = "_idx") -> DataFrame:
     """Add the label's rank by frequency (ties by value) as a DOUBLE; NULL comes after the last label.
 
     Labels are counted, ranked and joined back as tables, so a column may have any number of them.
     """
-    out = df
-    for c in as_list(cols):
-        text = F.col(c).cast("string")
-        counts = df.groupBy(text.alias("__label")).agg(F.count(F.lit(1)).alias("__rows")).filter("__label IS NOT NULL")
-        ranked = row_numbers(counts.withColumn("__rare", -F.col("__rows")), ["__rare", "__label"], "__rank")
-        ranked = pin(ranked.select("__label", "__rows", "__rank"))
-        found = attach(out.withColumn("__label", text), ranked, "__label", "__rows")
-        index = F.coalesce("__rank", F.lit(ranked.count())).cast("double")
-        out = found.withColumn(f"{c}{suffix}", index).drop("__label", "__rows", "__rank")
-    return out
+    return _indexed(df, as_list(cols), suffix)[0]
+
+
+def one_hot_slots(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], out: str = "slots") -> tuple[DataFrame, int]:
+    """(``df`` with its sparse feature vector as a list of (slot, value), length of the vector).
+
+    Numbers take the first slots and are left out where they are 0, NULL or NaN; a category has a
+    slot per label, by frequency, and one for NULL.  Labels stay in tables, so a vector may have
+    any width, and a row holds as many entries as it has columns.
+    """
+    indexed, labels = _indexed(df, categorical, "__slot")
+    entry = lambda slot, value: F.struct(slot.cast("long").alias("slot"), value.alias("value"))
+    parts = []
+    for i, c in enumerate(numeric):
+        v = clean_value(df, c)
+        parts.append(F.when(v != 0, entry(F.lit(i), v)))
+    width = len(numeric)
+    for c, n in zip(categorical, labels):
+        parts.append(entry(F.col(f"{c}__slot") + F.lit(width), F.lit(1.0)))
+        width += n + 1
+    made = indexed.withColumn(out, F.filter(F.array(*parts), lambda e: e.isNotNull()))
+    return made.drop(*[f"{c}__slot" for c in categorical]), width
 
 
 def encoder_stages(

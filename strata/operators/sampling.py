@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.keys import check_key, row_hash, stratum_id, uniform
+from strata.operators.prefix import row_numbers
 from strata.runtime import as_list, attach, fits_broadcast, pin
 
 # Hex digits of the hash that form a bucket at first: 3 digits are 4096 buckets per stratum.
@@ -21,6 +22,8 @@ BUCKET_DIGITS = 3
 # Rows of a bucket that one task may rank; larger buckets are cut by more digits.
 BUCKET_ROWS = 1_000_000
 HASH_DIGITS = 32
+# Rows at the cut of an exact budget that are ranked as they are; more are cut by finer ranges.
+DIRECT_ROWS = 100_000
 
 
 def with_uniform(df: DataFrame, key: str | Sequence[str], seed: int, out: str = "u") -> DataFrame:
@@ -97,12 +100,44 @@ def split_by_sample(
 
 
 def limit_rows(df: DataFrame, max_rows: int, seed: int, key: str | Sequence[str]) -> DataFrame:
-    """Downsample to about ``max_rows`` rows; a table within the budget passes whole."""
+    """Downsample to about ``max_rows`` rows in one pass; a table within the budget passes whole.
+
+    ``exact_rows`` meets the budget to the row.
+    """
     total = df.agg(F.count(F.lit(1))).scalar()
     keep = F.col("__u") * total < F.lit(float(max_rows))
     return with_uniform(df, key, seed, "__u").filter(keep).drop("__u")
 
 
+def exact_rows(df: DataFrame, max_rows: int, seed: int, key: str | Sequence[str]) -> DataFrame:
+    """Exactly ``max_rows`` rows, or all of a smaller table: those with the smallest keyed numbers.
+
+    Rows are counted in 65,536 ranges of the number; the range that holds the cut is counted in
+    65,536 finer ones, until one task may rank what is left.  Larger budgets hold the rows of
+    smaller ones.  Copies of a key at the cut are told apart by all their columns, so that the
+    rows do not depend on the partitioning.
+    """
+    marked = with_uniform(df, key, seed, "__u")
+    low, width, wanted, digits = 0.0, 1.0, max_rows, 1 << 16
+    for _ in range(3):  # the number has 52 bits
+        inside = marked.filter((F.col("__u") >= low) & (F.col("__u") < low + width))
+        digit = F.floor((F.col("__u") - low) / F.lit(width) * digits)
+        counts = inside.groupBy(digit.alias("digit")).agg(F.count(F.lit(1)).alias("n"))
+        upto = counts.withColumn("upto", F.sum("n").over(Window.orderBy("digit")))  # at most 65,536 rows
+        cut = upto.filter(F.col("upto") > wanted).orderBy("digit").first()
+        if cut is None:
+            return marked.filter(F.col("__u") < low + width).drop("__u")
+        width /= digits
+        low += cut["digit"] * width
+        wanted -= cut["upto"] - cut["n"]
+        if cut["n"] <= DIRECT_ROWS:
+            break
+    last = marked.filter((F.col("__u") >= low) & (F.col("__u") < low + width))
+    ranked = row_numbers(last.withColumn("__tie", F.xxhash64(*df.columns)), ["__u", *as_list(key), "__tie"], "__rank")
+    kept = ranked.filter(F.col("__rank") < wanted).select(*df.columns)
+    return marked.filter(F.col("__u") < low).select(*df.columns).unionByName(kept)
+
+
 def fraction_ladder(
     df: DataFrame, fractions: Sequence[float], seed: int, key: str | Sequence[str], out: str = "fraction"
 ) -> DataFrame:

@@ -8,6 +8,8 @@ from strata.operators import drift, evaluate, models, sampling
 from strata.operators.features import array_to_features
 from strata.plans.catalog.registry import query
 from strata.plans.loan_view import table
+from strata.runtime import scratch_path
+from strata.sources import read_table, write_table
 
 DOCS_SQL = """
 docs AS (SELECT d.doc_id, d.lang, d.n_chars, l.quality AS label, CAST(d.n_chars AS DOUBLE) AS score,
@@ -289,6 +291,40 @@ def cluster_profile(spark, sf):
     return got.withColumns({c: F.round(c, 6) for c in ("avg_x0", "avg_x1", "share")})
 
 
+@query(
+    "SELECT label, count(*) AS n, round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM embeddings), 6) AS share, "
+    + ", ".join(f"round(avg(embedding[{i + 1}]), 6) AS avg_x{i}" for i in range(64))
+    + " FROM embeddings GROUP BY label"
+)
+def cluster_profile_all(spark, sf):
+    """Size, share and the mean of all 64 parts per cluster."""
+    parts = [f"x{i}" for i in range(64)]
+    rows = table(spark, sf, "embeddings").select("label", *[F.get("embedding", F.lit(i)).alias(p) for i, p in enumerate(parts)])
+    got = evaluate.cluster_profile(rows, "label", parts)
+    return got.withColumns({c: F.round(c, 6) for c in ("share", *[f"avg_{p}" for p in parts])})
+
+
+@query(
+    "WITH"
+    + DOCS_SQL
+    + ","
+    + _BINARY_SQL.format(by="lang,", group="GROUP BY lang")
+    + ","
+    + curve_sql("docs", "score", "lang")
+    + """,
+long AS (SELECT lang, metric, value FROM (SELECT bm.*, auc, pr_auc FROM bm JOIN area ON bm.lang = area.lang)
+  UNPIVOT INCLUDE NULLS (value FOR metric IN (accuracy, precision, recall, f1, auc, pr_auc)))
+SELECT CASE WHEN lang = 'en' THEN metric ELSE lang || '_' || metric END AS metric, value FROM long"""
+)
+def prefixed_metrics_csv(spark, sf):
+    """Metric sets of several splits, prefixed but for one, as a CSV result table that is read back."""
+    long = evaluate.metric_set(scored_documents(spark, sf), by="lang")
+    path = scratch_path(spark, "results")
+    write_table(evaluate.prefixed(long, "lang", unprefixed=("en",)), path, format="csv", files=1)
+    back = read_table(spark, path, format="csv")
+    return back.select("metric", F.round(F.col("value").cast("double"), 8).alias("value"))
+
+
 _SIDES_SQL = """
 WITH base AS (SELECT l_extendedprice AS price, l_quantity AS qty FROM lineitem WHERE l_linestatus = 'F'),
 cur AS (SELECT l_extendedprice AS price, l_quantity AS qty FROM lineitem WHERE l_linestatus = 'O')"""

@@ -48,6 +48,24 @@ def one_hot_counts(spark, sf):
     return features.one_hot_counts(order_view(spark, sf), ["grade", "loan_status"])
 
 
+_SLOT_SQL = """
+SELECT p_partkey, CAST({base} + i.idx AS BIGINT) AS slot, CAST(1 AS DOUBLE) AS value FROM part JOIN (
+  SELECT {c} AS v, row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS idx FROM part GROUP BY {c}) i ON i.v = {c}"""
+
+
+@query(
+    "SELECT p_partkey, CAST(0 AS BIGINT) AS slot, CAST(p_size AS DOUBLE) AS value FROM part UNION ALL SELECT p_partkey, 1, p_retailprice FROM part"
+    + "".join(
+        "\nUNION ALL" + _SLOT_SQL.format(c=c, base="2" + "".join(f" + (SELECT count(DISTINCT {p}) + 1 FROM part)" for p in PART_COLUMNS[:k]))
+        for k, c in enumerate(PART_COLUMNS)
+    )
+)
+def one_hot_slots(spark, sf):
+    """The entries of each part's sparse feature vector."""
+    rows, _ = features.one_hot_slots(table(spark, sf, "part"), ["p_size", "p_retailprice"], PART_COLUMNS)
+    return rows.select("p_partkey", F.inline("slots"))
+
+
 @query(
     """
 SELECT event_id, round(value / (SELECT stddev_samp(value) FROM events), 6) AS value_std,

@@ -6,10 +6,11 @@ import re
 
 from pyspark.sql import functions as F
 
-from strata.operators import comoments, profile, quantiles, sparse_bins
+from strata.operators import comoments, profile, quantiles, sketches, sparse_bins
 from strata.operators.contracts import Rule, contract_check, leak_audit
 from strata.plans.catalog.registry import query
 from strata.plans.loan_view import LOAN_VIEW_SQL, loan_view, table
+from strata.runtime import scratch_path
 from strata.sources import describe_schema
 
 LV_COLUMNS = [
@@ -316,6 +317,38 @@ def density(spark, sf):
     return _rounded(_rounded(got, 6, "x"), 8, "density")
 
 
+@query(
+    _union(
+        f"""
+SELECT '{c}' AS "column", count(*) AS n_rows, count(*) - count({c}) AS n_null, CAST(min({c}) AS DOUBLE) AS low, CAST(max({c}) AS DOUBLE) AS high,
+       round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS stddev, TRUE AS distinct_close, TRUE AS median_close FROM lineitem"""
+        for c in [*LINE_NUMBERS, "l_linenumber"]
+    )
+)
+def merged_profile(spark, sf):
+    """Stored states per ship month, merged: exact moments, and estimates within their error of exact counts."""
+    lines, cols = table(spark, sf, "lineitem"), [*LINE_NUMBERS, "l_linenumber"]
+    path = scratch_path(spark, "states")
+    sketches.states(lines, cols, F.date_format("l_shipdate", "yyyy-MM")).write.parquet(path)
+    got = sketches.summary(sketches.merged(spark.read.parquet(path)), [0.5])
+    estimates = {r["column"]: (r["n_distinct"], r["q50"]) for r in got.collect()}  # a row per column
+    exact = lines.agg(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(c).alias("column"),
+                    (F.abs(F.count_distinct(c) - F.lit(n)) <= 0.06 * F.count_distinct(c)).alias("distinct_close"),
+                    # the median's rank, by counting: the rows below it and those up to it enclose one half
+                    ((F.count_if(F.col(c) < m) <= 0.52 * F.count(c)) & (F.count_if(F.col(c) <= m) >= 0.48 * F.count(c))).alias("median_close"),
+                )
+                for c, (n, m) in estimates.items()
+            ]
+        ).alias("rows")
+    ).select(F.inline("rows"))
+    out = got.select("column", "n_rows", "n_null", "low", "high", "mean", "stddev").join(exact, "column")
+    return _rounded(out, 4, "mean", "stddev")
+
+
 #: Values with gaps, infinities and a far tail planted, as SQL of either engine.
 _TAIL = """CASE event_id % 1000 WHEN 0 THEN 1e12 WHEN 1 THEN CAST('NaN' AS DOUBLE) WHEN 2 THEN CAST('Infinity' AS DOUBLE)
   WHEN 3 THEN NULL WHEN 4 THEN CAST('-Infinity' AS DOUBLE) ELSE value END"""

@@ -68,6 +68,11 @@ def split_by_sample(spark, sf):
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
+@query(f"{_ORDERS_SQL} ORDER BY {u_sql('o_orderkey')}, o_orderkey LIMIT 1000")
+def exact_rows(spark, sf):
+    return sampling.exact_rows(_orders(spark, sf), 1000, 42, "o_orderkey")
+
+
 @query(f"{_ORDERS_SQL} WHERE {u_sql('o_orderkey')} * (SELECT count(*) FROM orders) < 5000.0")
 def limit_rows(spark, sf):
     return sampling.limit_rows(_orders(spark, sf), 5000, 42, "o_orderkey")
