@@ -1,25 +1,31 @@
 """Mixing sources to target weights by a low-discrepancy schedule, in DataFrame operations only.
 
-A source's target is cut into blocks of equal words: as many as its share of ``SLOTS``, and at
-least ``LEAST`` (one a word for shorter targets), so a tiny source has many blocks beside a huge
-one.  Block r of n stands at (r + u) / n of the mix, with u from the golden-ratio sequence over
-the sources; sorted by that place, at every length of the mix each source has had its share up
-to one of its blocks, and at the end its target to the word.  A source is its documents in
-hash order, laid end to end and repeated; block r is the r-th piece of that.  A document has
-what its blocks have of it.
+The mix is a row of N slots, N a power of two.  Slot i holds the van der Corput point of i (its
+bits in reverse), which falls into one source's part of the cumulative targets: that source
+fills the slot.  At every length of the mix each source therefore has had its share up to a few
+slots, and at the end its share of N up to less than one.  A source's slots are ranked; its r-th
+slot takes the r-th block of its words, which are its documents in hash order, laid end to end
+and repeated.  All blocks of a schedule have the same number of words, the mix divided by N, so
+a target is met up to less than one block, and the schedule alone says what is taken.
+
+N is at least ``SLOTS`` and gives the smallest target ``LEAST`` slots; where that is more than
+its words, a block is a fraction of a word and holds the word that begins in it, if any.
+Sources whose targets differ more than ``TIER``-fold from the largest have schedules of their
+own, of smaller blocks, which are merged by place: the number of slots follows from the number
+of sources, not from the words.
 
 Documents are ordered once by (source, hash) over range partitions, so a source that holds a
 third of all rows is spread like any other; there is no window over a source.
 
 Defined cases: NULL, empty and word-free texts have size 0 and nothing is taken of them; a
 NULL source is a source of its own, after all others; documents that repeat are told apart by
-a number; NULL ids take part; an empty table gives an empty result; other columns are kept
-out of the plan.
+a number; NULL ids take part; an empty table gives an empty result; very long texts lie in as
+many blocks as they fill; other columns are kept out of the plan, whatever their names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import WORD_PATTERN, numbered, stored
@@ -29,11 +35,14 @@ WEIGHTS = (5, 2, 1)
 #: The mix as a multiple of all tokens, and the most that a source gives as a multiple of its own.
 SHARE = 1.5
 MOST = 2
-#: Slots of the schedule: with ``LEAST`` per source it has at most SLOTS + 2 * LEAST * sources, whatever the input.
+#: Slots that a schedule has at least.
 SLOTS = 1 << 18
-#: Blocks that a source has at least, if its target has as many words.
-LEAST = 32
-GOLDEN = 0.6180339887498949
+#: Slots of the smallest target of a schedule: no target is missed by more than one part in LEAST.
+LEAST = 1024
+#: Targets of one schedule are within this factor of each other.
+TIER = 16
+#: Where in its step of 1/N a point lies.
+SHIFT = 0.5
 
 
 def sized(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -58,74 +67,110 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
         "*", F.get(cycle, (F.col("source_rank") % len(weights)).cast("int")).alias("weight"), (F.col("source_size") * most).alias("most")
     ).withColumn("full_at", F.col("most") / F.col("weight"))
     along = stored(numbered(capped, ["full_at", "source_rank"], ("most", "weight"), rank="__along"), "targets")
-    sums = along.agg(F.sum("source_size").alias("all"), F.sum("weight").alias("weights"))
+    size, weight = F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0))
+    tokens, all_weights = along.agg(size, weight).first()
+    total = tokens * share
     # what the sources take at the level where this one is full; those at most the total are full
-    taken = F.col("before_most") + F.col("most") + F.col("full_at") * (F.col("weights") - F.col("before_weight") - F.col("weight"))
-    full = along.join(F.broadcast(sums)).filter(taken <= F.col("all") * share)  # one row beside each
-    used = full.agg(F.coalesce(F.sum("most"), F.lit(0)).alias("full_most"), F.coalesce(F.sum("weight"), F.lit(0)).alias("full_weight"))
-    level = sums.join(F.broadcast(used)).select(
-        F.when(F.col("weights") > F.col("full_weight"), (F.col("all") * share - F.col("full_most")) / (F.col("weights") - F.col("full_weight")))
-        .otherwise(F.lit(float("inf"))).alias("level"),
-        (F.col("all") * share).alias("mix_size"),
-    )
-    found = along.join(F.broadcast(level)).withColumn("target", F.least(F.col("most").cast("double"), F.col("weight") * F.col("level")))
-    return stored(found.select("source", "source_size", "source_rank", "weight", "target", "mix_size"), "targets")
-
-
-def blocks(wanted: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """``wanted`` with goal, block_tokens and n_blocks of each source: whole words, and how they are cut."""
-    goal = F.when(F.col("target") > 0, F.greatest(F.lit(1), F.round("target"))).otherwise(0).cast("long")
-    even = F.greatest(F.lit(1), F.ceil(F.col("mix_size") / slots)).cast("long")
-    fine = F.greatest(F.lit(1), F.floor(F.col("goal") / LEAST)).cast("long")
-    cut = wanted.withColumn("goal", goal).withColumn("block_tokens", F.least(even, fine))
-    return cut.withColumn("n_blocks", F.ceil(F.col("goal") / F.col("block_tokens")).cast("long"))
-
-
-def schedule(wanted: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """(slot, source_rank, block, block_tokens, goal): which source each slot takes its next block from."""
-    cut = blocks(wanted.filter("target > 0"), slots)
-    step = (F.col("source_rank") + 1) * F.lit(GOLDEN)
-    each = cut.select(
-        "source_rank", "block_tokens", "goal", "n_blocks", (step - F.floor(step)).alias("shift"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)).alias("block"),
+    taken = F.col("before_most") + F.col("most") + F.col("full_at") * (all_weights - F.col("before_weight") - F.col("weight"))
+    full_most, full_weight = along.filter(taken <= total).agg(F.coalesce(F.sum("most"), F.lit(0)), weight).first()
+    level = (total - full_most) / (all_weights - full_weight) if all_weights > full_weight else float("inf")
+    found = along.withColumn("target", F.least(F.col("most").cast("double"), F.col("weight") * F.lit(level)))
+    return found.select("source", "source_size", "source_rank", "weight", "most", "target")
+
+
+def spans(wanted: DataFrame, slots: int = SLOTS, shift: float = SHIFT) -> DataFrame:
+    """Per source its schedule (tier, n_slots, bits), the words of a block and the steps of its points, first_step up to next_step.
+
+    A source's part of the cumulative targets is [low, low + goal) of the schedule's words.  The
+    points of all N slots lie at (step + shift) / N, one a step, so the points in a part are a
+    range of steps, and no slot has to be compared with the sources.
+    """
+    goal = F.greatest(F.lit(1), F.round("target")).cast("long")
+    asked = wanted.filter("target > 0").withColumn("goal", goal)
+    largest = asked.agg(F.coalesce(F.max("goal"), F.lit(1))).first()[0]
+    # whole powers, so that no logarithm is rounded
+    powers = [TIER**i for i in range(1, 64) if TIER**i <= largest]
+    far = [F.when(F.col("goal") <= largest // p, 1).otherwise(0) for p in powers]
+    asked = asked.withColumn("tier", sum(far, F.lit(0)).cast("int"))
+    tiers = asked.groupBy("tier").agg(F.sum("goal").alias("words"), F.min("goal").alias("smallest"))
+    wish = F.greatest(F.lit(slots).cast("long"), F.ceil(F.col("words") / F.col("smallest")) * LEAST)
+    bits = F.length(F.bin(wish - 1))  # the least power of two that is enough
+    tiers = tiers.withColumn("bits", bits.cast("int")).withColumn("n_slots", F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bits")))
+    tiers = numbered(tiers, ["tier"], ("words",), rank="__n").withColumnRenamed("tier", "__tier")
+    laid = numbered(asked, ["tier", "source_rank"], ("goal",), rank="__along")
+    met = laid.join(F.broadcast(tiers), F.col("tier") == F.col("__tier"))  # a row per power of TIER
+    low = F.col("before_goal") - F.col("before_words")
+
+    def step(words: Column) -> Column:
+        return F.ceil(words.cast("double") * F.col("n_slots") / F.col("words") - F.lit(shift)).cast("long")
+
+    return met.select(
+        "source_rank", "tier", "n_slots", "bits", "goal", "most", (F.col("words") / F.col("n_slots")).alias("block_tokens"),
+        step(low).alias("first_step"), step(low + F.col("goal")).alias("next_step"),
     )
-    placed = each.withColumn("place", (F.col("block") + F.col("shift")) / F.col("n_blocks"))
-    placed = placed.select("place", "source_rank", "block", "block_tokens", "goal")
-    return numbered(placed, ["place", "source_rank", "block"], rank="slot").select("slot", "source_rank", "block", "block_tokens", "goal")
 
 
-def mix(docs: DataFrame, slots: int = SLOTS, key: str = "doc_id", text: str = "text", source: str = "source") -> tuple[DataFrame, DataFrame]:
+def edge(block: Column, tokens: Column) -> Column:
+    """Words of a source before its block: blocks of a fraction of a word more or less begin at whole words."""
+    return F.ceil(block * tokens).cast("long")
+
+
+def schedule(wanted: DataFrame, slots: int = SLOTS, shift: float = SHIFT) -> DataFrame:
+    """(slot, source_rank, block, block_tokens, goal): which source each slot takes its next block from.
+
+    ``goal`` is what the source's slots hold in words, at most what it may give.
+    """
+    parts = spans(wanted, slots, shift).filter("first_step < next_step")
+    n = F.col("next_step") - F.col("first_step")
+    held = F.least(F.col("most"), edge(n, F.col("block_tokens")))
+    each = parts.withColumn("goal", held).withColumn("step", F.explode(F.sequence("first_step", F.col("next_step") - 1)))
+    turned = F.reverse(F.call_function("lpad", F.bin("step"), F.col("bits"), F.lit("0")))
+    each = each.withColumn("i", F.conv(turned, 2, 10).cast("long"))
+    # the rank of a slot among its source's: all slots in order of (source, i), less those of the sources before
+    ranked = numbered(each.drop("first_step", "next_step", "step", "most"), ["source_rank", "i"], rank="__along")
+    counts = parts.select(F.col("source_rank").alias("__source"), n.alias("__slots"))
+    first = numbered(counts, ["__source"], ("__slots",), rank="__n").select("__source", "before___slots")
+    ranked = ranked.join(first, F.col("source_rank") == F.col("__source")).withColumn("block", F.col("__along") - F.col("before___slots"))
+    placed = ranked.select((F.col("i") / F.col("n_slots")).alias("place"), "tier", "i", "source_rank", "block", "block_tokens", "goal")
+    return numbered(placed, ["place", "tier", "i"], rank="slot").select("slot", "source_rank", "block", "block_tokens", "goal")
+
+
+def mix(
+    docs: DataFrame, slots: int = SLOTS, key: str = "doc_id", text: str = "text", source: str = "source", shift: float = SHIFT
+) -> tuple[DataFrame, DataFrame]:
     """The documents with what the mix takes of them, and the pieces (slot, doc_number, tokens)."""
     sizes = sized(docs, key, text, source)
     wanted = targets(sizes)
     # rows that repeat get numbers, so that the order below tells all rows apart
     same = stored(sizes.withColumn("twin", F.monotonically_increasing_id()), "mix-sizes")
     laid = numbered(same, ["source", "place", "doc_id", "twin"], ("size",), rank="doc_number")
-    names = blocks(wanted, slots).withColumnRenamed("source", "__source")
-    names = names.select("__source", "source_size", "source_rank", "target", "goal", "block_tokens")
-    bases = numbered(names, ["source_rank"], ("source_size",), rank="__n").select(
-        "__source", "source_size", "source_rank", "target", "goal", "block_tokens", F.col("before_source_size").alias("base")
-    )
+    names = wanted.select(F.col("source").alias("__source"), "source_size", "source_rank", "target")
+    bases = numbered(names, ["source_rank"], ("source_size",), rank="__n").withColumnRenamed("before_source_size", "base")
     laid = stored(
         laid.join(bases, F.col("source").eqNullSafe(F.col("__source"))).select(
-            "doc_id", "place", "size", "source_size", "source_rank", "target", "goal", "block_tokens", "doc_number",
+            "doc_id", "place", "size", "source_size", "source_rank", "target", "doc_number",
             (F.col("before_size") - F.col("base")).alias("at"),
         ),
         "mix-laid",
     )
-    plan = schedule(wanted, slots)
+    plan = stored(schedule(wanted, slots, shift), "mix-plan")
+    # what a source's slots hold; one row per source
+    held = plan.groupBy(F.col("source_rank").alias("__rank")).agg(F.max("block_tokens").alias("block_tokens"), F.max("goal").alias("goal"))
     # each document lies in the repeated stream of its source once per epoch
-    lying = laid.filter("size > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(MOST - 1))))
+    lying = laid.filter("size > 0").join(held, F.col("source_rank") == F.col("__rank"))
+    lying = lying.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(MOST - 1))))
     lying = lying.withColumn("start", F.col("at") + F.col("epoch") * F.col("source_size"))
     lying = lying.withColumn("stop", F.least(F.col("start") + F.col("size"), F.col("goal"))).filter("start < stop")
-    width = F.col("block_tokens")
+    # one block more at each end, as edges are whole words; those that do not meet the document go
+    first, last = F.floor(F.col("start") / F.col("block_tokens")) - 1, F.floor(F.col("stop") / F.col("block_tokens")) + 1
     lying = lying.select(
-        "doc_number", "source_rank", "start", "stop",
-        F.explode(F.sequence(F.floor(F.col("start") / width), F.floor((F.col("stop") - 1) / width))).alias("block"),
+        "doc_number", "source_rank", "start", "stop", "block_tokens",
+        F.explode(F.sequence(F.greatest(F.lit(0).cast("long"), first), last)).alias("block"),
     )
-    low = F.greatest(F.col("start"), F.col("block") * F.col("block_tokens"))
-    high = F.least(F.col("stop"), (F.col("block") + 1) * F.col("block_tokens"))
-    pieces = lying.join(plan, ["source_rank", "block"]).select("slot", "doc_number", (high - low).alias("tokens"))
+    low = F.greatest(F.col("start"), edge(F.col("block"), F.col("block_tokens")))
+    high = F.least(F.col("stop"), edge(F.col("block") + 1, F.col("block_tokens")))
+    cut = lying.withColumn("tokens", high - low).filter("tokens > 0").select("doc_number", "source_rank", "block", "tokens")
+    pieces = cut.join(plan.select("slot", "source_rank", "block"), ["source_rank", "block"]).select("slot", "doc_number", "tokens")
     taken = pieces.groupBy("doc_number").agg(F.sum("tokens").alias("taken"))
     mixed = laid.join(taken, "doc_number", "left").select(
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "doc_number", "place"
