@@ -7,13 +7,15 @@ pass; the map and its edits work on ``N_SLOTS`` numbers, a fixed size.
 
 Defined cases: a NULL text has no bytes (size 16) and checksum 0; a NULL id is hashed as
 NULL and takes part; repeated rows share a slot and get places of their own; an empty table
-gives an empty result and an untouched map; columns besides id and text are not looked at.
+gives an empty result and an untouched map; a very long text is one record of its size, so its
+shard may exceed the others by it; columns besides id and text are not looked at.
 """
 
 from __future__ import annotations
 
 import heapq
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -96,31 +98,62 @@ def rebalanced(shard_of: list[int], loads: list[int], n_shards: int, tolerance:
     return new
 
 
-def store_map(spark: SparkSession, versions: list[list[int]], path: str) -> None:
-    """All versions as one small table (version, vslot, shard)."""
-    rows = [(v, slot, shard) for v, m in enumerate(versions) for slot, shard in enumerate(m)]
-    spark.createDataFrame(rows, "version int, vslot int, shard int").coalesce(1).write.mode("overwrite").parquet(path)
+def append_map(spark: SparkSession, path: str, version: int, shard_of: list[int]) -> None:
+    """Add a version to the table (version, vslot, shard); earlier ones stay as they are."""
+    rows = [(version, slot, shard) for slot, shard in enumerate(shard_of)]
+    spark.createDataFrame(rows, "version int, vslot int, shard int").coalesce(1).write.mode("append").parquet(path)
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """The versions stored at ``path``, oldest first; none if nothing is there."""
+    try:
+        stored = spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+    return sorted(r[0] for r in stored.select("version").distinct().collect())
 
 
 def load_map(spark: SparkSession, path: str, version: int) -> DataFrame:
     return spark.read.parquet(path).filter(F.col("version") == version).select("vslot", "shard")
 
 
+def edit_map(spark: SparkSession, path: str, loads: list[int], n_shards: int) -> int:
+    """Load the newest map at ``path``, rebalance it for ``loads`` and append the result; the version now in force.
+
+    A map that needs no move is not stored again.  A path without a map starts with the slots
+    dealt round, as version 0.
+    """
+    known = versions(spark, path)
+    if known:
+        shard_of = [r["shard"] for r in load_map(spark, path, known[-1]).orderBy("vslot").collect()]
+        if max(shard_of) >= n_shards:
+            raise ValueError(f"the map at {path} has {max(shard_of) + 1} shards, more than {n_shards}")
+    else:
+        shard_of = first_map(n_shards)
+        append_map(spark, path, 0, shard_of)
+        known = [0]
+    new = rebalanced(shard_of, loads, n_shards)
+    if new == shard_of:
+        return known[-1]
+    append_map(spark, path, known[-1] + 1, new)
+    return known[-1] + 1
+
+
 def assign(docs: DataFrame, n_shards: int = 40, key: str = "doc_id", text: str = "text", map_path: str | None = None) -> DataFrame:
     """Shard of every record under law ``bytes``: (key, size, text_crc32, law, shard, slot, grown_shard, vslot, version).
 
-    ``slot`` is the record's place in its shard, 0 upwards without a gap.  Places are counted
-    inside a virtual slot and shifted by the counts of the shard's slots before it, so no task
-    sees more than one virtual slot.
+    The newest map at ``map_path`` is edited for the bytes that are there now; without a path
+    the map is a new one.  ``slot`` is the record's place in its shard, 0 upwards without a gap.
+    Places are counted inside a virtual slot and shifted by the counts of the shard's slots
+    before it, so no task sees more than one virtual slot.
     """
     spark = docs.sparkSession
     rows = slotted(docs, key, text)
-    loads = slot_loads(rows)
-    versions = [first_map(n_shards)]
-    versions.append(rebalanced(versions[0], loads, n_shards))
     path = map_path or scratch_path(spark, "slot-map")
-    store_map(spark, versions, path)
-    shard_of = load_map(spark, path, 1)
+    version = edit_map(spark, path, slot_loads(rows), n_shards)
+    shard_of = load_map(spark, path, version)
 
     counts = rows.groupBy("vslot").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(shard_of), "vslot")
     before = Window.partitionBy("shard").orderBy("vslot").rowsBetween(Window.unboundedPreceding, -1)
@@ -138,16 +171,15 @@ def assign(docs: DataFrame, n_shards: int = 40, key: str = "doc_id", text: str =
             (F.col("first") + F.col("place")).cast("long").alias("slot"),
             F.lit(None).cast("int").alias("grown_shard"),
             "vslot",
-            F.lit(1).alias("version"),
+            F.lit(version).alias("version"),
         )
     )
 
 
 def write_shards(docs: DataFrame, path: str, n_shards: int = 40, key: str = "doc_id", text: str = "text") -> None:
     """Write every record below ``path``/shard=i by the newest version of the map kept beside it."""
-    map_path = f"{path}-slots"
-    assign(docs, n_shards, key, text, map_path)
-    shard_of = load_map(docs.sparkSession, map_path, 1)
+    spark, map_path = docs.sparkSession, f"{path}-slots"
+    shard_of = load_map(spark, map_path, edit_map(spark, map_path, slot_loads(slotted(docs, key, text)), n_shards))
     vslot = _measures(key, text)[2]
     named = docs.withColumn("__vslot", vslot).join(F.broadcast(shard_of.withColumnRenamed("vslot", "__vslot")), "__vslot").drop("__vslot")
     named.write.partitionBy("shard").parquet(path)

@@ -38,3 +38,24 @@ def test_assignment(spark, odd_documents, tmp_path):
 
 def test_empty_table(spark, odd_documents):
     assert S.assign(odd_documents.limit(0)).collect() == []
+
+
+def test_three_stored_versions(spark, tmp_path):
+    path = str(tmp_path / "map")
+    docs = spark.createDataFrame([(i, "x" * (i * 31 % 400)) for i in range(3000)], "doc_id long, text string")
+    one = S.assign(docs, 4, map_path=path).collect()
+    assert S.versions(spark, path) == [0, 1]
+    same = S.assign(docs, 4, map_path=path).collect()
+    assert S.versions(spark, path) == [0, 1] and {r["version"] for r in one + same} == {1}
+    assert sorted((r["doc_id"], r["shard"]) for r in one) == sorted((r["doc_id"], r["shard"]) for r in same)
+    before = [sorted(map(tuple, S.load_map(spark, path, v).collect())) for v in (0, 1)]
+    grown = S.assign(docs, 5, map_path=path).collect()
+    assert S.versions(spark, path) == [0, 1, 2]
+    # earlier versions are not touched; growing moves rows only into the new shard, about a fifth of the bytes
+    assert before == [sorted(map(tuple, S.load_map(spark, path, v).collect())) for v in (0, 1)]
+    old = {r["doc_id"]: r["shard"] for r in one}
+    moved = [r for r in grown if r["shard"] != old[r["doc_id"]]]
+    assert moved and sum(r["size"] for r in moved if r["shard"] == 4) >= 0.9 * sum(r["size"] for r in moved)
+    assert sum(r["size"] for r in moved) <= 1.3 * sum(r["size"] for r in grown) / 5
+    load = [sum(r["size"] for r in grown if r["shard"] == k) for k in range(5)]
+    assert max(load) <= 1.02 * sum(load) / 5
