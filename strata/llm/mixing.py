@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import WORD_PATTERN, numbered, stored
+from strata.runtime import attach
 
 #: Weights of the sources in their order, repeated.
 WEIGHTS = (5, 2, 1)
@@ -54,13 +55,18 @@ def sized(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
     )
 
 
+def _source_key() -> Column:
+    """A text that is never NULL and tells a NULL source from all others."""
+    return F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("__key")
+
+
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
-    """(source, source_size, source_rank, weight, target) per source.
+    """(source, source_size, n_rows, source_rank, weight, most, target) per source.
 
     With a level L, source i gets min(most * size_i, weight_i * L).  Sources reach their limit
     in ascending order of limit / weight, so L follows from running totals along that order.
     """
-    per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_rows"))
     ranked = numbered(per, ["source"], rank="source_rank")
     cycle = F.array(*[F.lit(w) for w in weights])
     capped = ranked.select(
@@ -75,7 +81,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     full_most, full_weight = along.filter(taken <= total).agg(F.coalesce(F.sum("most"), F.lit(0)), weight).first()
     level = (total - full_most) / (all_weights - full_weight) if all_weights > full_weight else float("inf")
     found = along.withColumn("target", F.least(F.col("most").cast("double"), F.col("weight") * F.lit(level)))
-    return found.select("source", "source_size", "source_rank", "weight", "most", "target")
+    return found.select("source", "source_size", "n_rows", "source_rank", "weight", "most", "target")
 
 
 def spans(wanted: DataFrame, slots: int = SLOTS, shift: float = SHIFT) -> DataFrame:
@@ -144,21 +150,23 @@ def mix(
     # rows that repeat get numbers, so that the order below tells all rows apart
     same = stored(sizes.withColumn("twin", F.monotonically_increasing_id()), "mix-sizes")
     laid = numbered(same, ["source", "place", "doc_id", "twin"], ("size",), rank="doc_number")
-    names = wanted.select(F.col("source").alias("__source"), "source_size", "source_rank", "target")
+    plan = stored(schedule(wanted, slots, shift), "mix-plan")
+    # what a source's slots hold; one row per source
+    held = plan.groupBy("source_rank").agg(F.max("block_tokens").alias("block_tokens"), F.max("goal").alias("goal"))
+    names = wanted.select(_source_key(), "source_size", "n_rows", "source_rank", "target")
     bases = numbered(names, ["source_rank"], ("source_size",), rank="__n").withColumnRenamed("before_source_size", "base")
+    bases = stored(bases.drop("__n").join(held, "source_rank", "left"), "mix-sources")
+    # few sources are broadcast; of many, those with many rows are joined apart
+    laid = attach(laid.withColumn("__key", _source_key()).drop("source"), bases, "__key", "n_rows")
     laid = stored(
-        laid.join(bases, F.col("source").eqNullSafe(F.col("__source"))).select(
-            "doc_id", "place", "size", "source_size", "source_rank", "target", "doc_number",
+        laid.select(
+            "doc_id", "place", "size", "source_size", "source_rank", "target", "block_tokens", "goal", "doc_number",
             (F.col("before_size") - F.col("base")).alias("at"),
         ),
         "mix-laid",
-    )
-    plan = stored(schedule(wanted, slots, shift), "mix-plan")
-    # what a source's slots hold; one row per source
-    held = plan.groupBy(F.col("source_rank").alias("__rank")).agg(F.max("block_tokens").alias("block_tokens"), F.max("goal").alias("goal"))
+    )
     # each document lies in the repeated stream of its source once per epoch
-    lying = laid.filter("size > 0").join(held, F.col("source_rank") == F.col("__rank"))
-    lying = lying.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(MOST - 1))))
+    lying = laid.filter("size > 0 AND goal > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(MOST - 1))))
     lying = lying.withColumn("start", F.col("at") + F.col("epoch") * F.col("source_size"))
     lying = lying.withColumn("stop", F.least(F.col("start") + F.col("size"), F.col("goal"))).filter("start < stop")
     # one block more at each end, as edges are whole words; those that do not meet the document go
