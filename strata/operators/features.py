@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import PCA, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators import projection
 from strata.operators.clean import fill_constant
 from strata.operators.prefix import row_numbers
 from strata.operators.quantiles import clean_value
@@ -213,12 +214,8 @@ def standardize(df: DataFrame, cols: Sequence[str], center: bool = False, suffix
 
 
 def pca(df: DataFrame, features: str = "features", k: int = 2, out: str = "pca") -> DataFrame:
-    """Project onto the first ``k`` principal components of the centred features."""
-    stages = [
-        StandardScaler(inputCol=features, outputCol="__centred", withMean=True, withStd=False),
-        PCA(k=k, inputCol="__centred", outputCol=out),
-    ]
-    return Pipeline(stages=stages).fit(df).transform(df).drop("__centred")
+    """Project onto the first ``k`` principal components of the centred features; see ``projection``."""
+    return projection.project(df, projection.components(df, features, k), features, out)
 
 
 def array_to_features(df: DataFrame, col: str, width: int | None = None, out: str = "features") -> DataFrame:
