@@ -11,8 +11,8 @@ characters, each block's pieces are broadcast (a fixed bound) and searched in al
 Texts are compared in lower case with every run of white space as one space.
 
 Defined cases: NULL and empty documents match nothing; NULL and empty items are not searched;
-items under ``MIN_CHARS`` characters match only a document that is that item; a NULL document
-id is reported as NULL; repeated documents and items are each reported; empty tables give an
+items under ``SHORT_CHARS`` characters match without edits and only between word edges, so that a
+short item is not found inside longer words; a NULL document id is reported as NULL; repeated documents and items are each reported; empty tables give an
 empty result; very long texts are searched whole; other columns are not looked at.
 """
 
@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from strata.llm.common import in_batches, worker_memory
 
 ERROR_RATE = 0.08
-MIN_CHARS = 24
+#: Items of fewer characters have no edits: one edit makes another word of most of them.
+SHORT_CHARS = 24
 BLOCK_CHARS = 2_000_000
 SPACE = re.compile(r"\s+")
 SCHEMA = "doc_id long, item_id long, errors int, budget int, position long"
@@ -45,6 +46,17 @@ def budget(length: int, rate: float = ERROR_RATE) -> int:
     return int(rate * length + 1e-9)
 
 
+def _one_word(a: str, b: str) -> bool:
+    """Whether two neighbouring characters belong to a word; scripts written without spaces have an edge everywhere."""
+    return a.isalnum() and b.isalnum() and ord(a) < 0x2E80 and ord(b) < 0x2E80
+
+
+def between_edges(text: str, start: int, stop: int) -> bool:
+    if start > 0 and _one_word(text[start - 1], text[start]):
+        return False
+    return not (stop < len(text) and _one_word(text[stop - 1], text[stop]))
+
+
 def pieces_of(item: str, errors: int) -> list[tuple[int, str]]:
     """(offset, piece) of ``errors`` + 1 pieces of nearly equal length."""
     cuts = [len(item) * i // (errors + 1) for i in range(errors + 2)]
@@ -97,16 +109,12 @@ class Matcher:
     def __init__(self, items: list[tuple[int | None, str]], rate: float):
         self.ids: list[int | None] = []
         self.patterns: list[Pattern] = []
-        self.whole: dict[str, list[int]] = defaultdict(list)
         places: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for item_id, item in items:
             number = len(self.ids)
             self.ids.append(item_id)
-            errors = budget(len(item), rate)
+            errors = budget(len(item), rate) if len(item) >= SHORT_CHARS else 0
             self.patterns.append(Pattern(item, errors))
-            if len(item) < MIN_CHARS:
-                self.whole[item].append(number)
-                continue
             for offset, piece in pieces_of(item, errors):
                 places[piece].append((number, offset))
         self.tree = ahocorasick.Automaton()
@@ -118,12 +126,16 @@ class Matcher:
 
     def of(self, text: str) -> dict[int, tuple[int, int]]:
         """item number -> (fewest edits, start of the match's window) in the folded text."""
-        found = {n: (0, 0) for n in self.whole.get(text, ())}
+        found: dict[int, tuple[int, int]] = {}
         if not self.any:
             return found
         windows: dict[int, set[int]] = defaultdict(set)
         for end, (length, where) in self.tree.iter(text):
             for number, offset in where:
+                if len(self.patterns[number].item) < SHORT_CHARS:  # the piece is the item
+                    if number not in found and between_edges(text, end + 1 - length, end + 1):
+                        found[number] = (0, end + 1 - length)
+                    continue
                 windows[number].add(end + 1 - length - offset)
         for number, starts in windows.items():
             pattern = self.patterns[number]
