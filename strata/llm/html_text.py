@@ -1,20 +1,22 @@
 """Main text of web pages by nearest-URL page differencing.
 
 A page becomes lines, one per block of text, each marked by where it stands (article, main
-part, page furniture).  Pages of a host are put in order of their URL path; a page is
-compared with the nearer of its two neighbours by aligning their line hashes along a longest
-common subsequence, and lines shared by both are deleted: what the neighbour has too is the
-site's, not the article's.  A neighbour with mostly the same text is a copy of the article
-and shows nothing about the site, so it is passed over.  Scripts, forms, navigation and
-other marked furniture never become article lines.  Lines inside an ``article`` element stay
-though shared: the mark-up says that they are the author's, and articles of one host do quote
-the same passages.
+part, page furniture).  Pages of a host are put in order of their URL path, those with the same
+lines as one.  A page is compared with the nearer of its two neighbours by aligning their line
+hashes along a longest common subsequence, and lines shared by both are deleted: what the
+neighbour has too is the site's, not the article's.  A neighbour with mostly the same text is a
+copy of the article and shows nothing about the site, so it and its copies are passed over.
+Inside an ``article`` element shared sentences stay, because articles of one host do quote the same
+passages; other shared lines (labels, buttons, captions) go.  Scripts, forms, navigation and
+other marked furniture never become article lines.  The text is what is left in the article
+elements if that is at least half of what is left at all, else in the main part, else on the page.
 
 Hashes only are ordered and compared; groups of ``GROUP`` consecutive pages (with one page of
 overlap at each end) make the work even, however many pages one host has.
 
 Defined cases: NULL and empty html give an empty text; a NULL or broken URL belongs to the
-host ''; rows that repeat page, URL and html are compared once and each get the text; NULL
+host ''; rows that repeat page, URL and html, and pages of a host with equal lines, are compared once
+and each get the text; NULL
 ids take part; an empty table gives an empty result; texts of any length are kept whole;
 other columns are not looked at.
 """
@@ -32,12 +34,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import in_batches, numbered
+from strata.llm.common import in_batches, numbered, stored
+from strata.runtime import attach, pin
 
 GROUP = 256
 #: A neighbour that shares more than this part of the page's text is a copy of its article.
 COPY_SHARE = 0.5
 
+#: How a sentence ends, closing marks included.
+SENTENCE = re.compile(r"[.!?\u2026\u3002\uff01\uff1f\u061f\u0964][\s\"'\u00bb\u2019\u201d)\]]*$")
+
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -214,39 +220,65 @@ def shared_lines(a: list[int], b: list[int]) -> set[int]:
     return found
 
 
-def deletions(own: tuple, others: list[tuple]) -> list[int]:
-    """Lines of ``own`` to delete: those shared with the nearest of ``others`` that is no copy.  Pages are (host, path, hashes, sizes)."""
-    host, path, hashes, sizes = own
-
-    def nearness(other: tuple) -> int:
-        n = 0
-        for x, y in zip(path, other[1]):
-            if x != y:
+def first_others(pages: list[tuple], step: int) -> list[tuple[int, set[int]] | None]:
+    """Per page the nearest page of its host before (``step`` -1) or after (1) it that is no copy, and the lines they share.
+
+    Pages are (host, path, hashes, sizes).  From a copy the way goes on to the copy's own nearest other page.
+    """
+    found: list[tuple[int, set[int]] | None] = [None] * len(pages)
+    for i in range(len(pages))[::-step]:
+        host, _, hashes, sizes = pages[i]
+        total = sum(s for s in sizes if s > 0)
+        j = i + step
+        while 0 <= j < len(pages) and pages[j][0] == host:
+            shared = shared_lines(hashes, pages[j][2])
+            if sum(sizes[k] for k in shared if sizes[k] > 0) <= COPY_SHARE * total:
+                found[i] = j, shared
                 break
-            n += 1
-        return -n
+            j = found[j][0] if found[j] else -1
+    return found
+
+
+def deletions(pages: list[tuple]) -> list[list[int]]:
+    """Lines of each page to delete: those it shares with the nearer, by path, of the first other pages on both sides."""
+    out = []
+    for page, *sides in zip(pages, first_others(pages, -1), first_others(pages, 1)):
+
+        def nearness(side: tuple[int, set[int]]) -> int:
+            n = 0
+            for x, y in zip(page[1], pages[side[0]][1]):
+                if x != y:
+                    break
+                n += 1
+            return -n
+
+        out.append(sorted(min((s for s in sides if s), key=nearness, default=(0, set()))[1]))
+    return out
+
 
-    total = sum(s for s in sizes if s > 0)
-    for other in sorted((o for o in others if o[0] == host), key=nearness):
-        shared = shared_lines(hashes, other[2])
-        if sum(sizes[i] for i in shared if sizes[i] > 0) <= COPY_SHARE * total:
-            return sorted(shared)
-    return []
+def text_of(lines: list[tuple[str, int]], lost: set[int]) -> str:
+    """The text of a page's lines without furniture and the ``lost`` lines, article sentences excepted."""
+    left = [(x, place) for i, (x, place) in enumerate(lines) if place and (i not in lost or place == 3 and SENTENCE.search(x))]
+    total = sum(len(x) for x, _ in left)
+    place = next((p for p in (3, 2) if 2 * sum(len(x) for x, q in left if q >= p) >= total), 1)
+    return "\n".join(x for x, q in left if q >= place)
 
 
 def page_lines(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
-    """(page_key, url_host, url_path, hashes, sizes) per different page; size is negative for furniture."""
+    """(page_key, layout, url_host, url_path, hashes, sizes); size is negative for furniture, pages of a host with the same lines have one layout."""
 
     def piece(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        hosts, hashes, sizes = [], [], []
+        hosts, hashes, sizes, layouts = [], [], [], []
         for u, h in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist()):
             lines = lines_of(h)
             hosts.append(host_and_path(u))
             hashes.append([line_hash(x) for x, _ in lines])
             sizes.append([len(x) if place else -len(x) for x, place in lines])
+            layouts.append(xxhash.xxh3_128_hexdigest(repr((hosts[-1][0], hashes[-1], sizes[-1]))))
         yield pa.RecordBatch.from_pydict(
             {
                 "page_key": batch.column("page_key"),
+                "layout": pa.array(layouts, pa.string()),
                 "url_host": pa.array([h[0] for h in hosts], pa.string()),
                 "url_path": pa.array([h[1] for h in hosts], pa.string()),
                 "hashes": pa.array(hashes, pa.list_(pa.int64())),
@@ -254,9 +286,8 @@ def page_lines(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
             }
         )
 
-    schema = "page_key string, url_host string, url_path string, hashes array<long>, sizes array<long>"
-    rows = _keyed(pages, key, url, html).select("page_key", "url", "html").mapInArrow(lambda b: in_batches(b, piece), schema)
-    return rows.dropDuplicates(["page_key"])
+    schema = "page_key string, layout string, url_host string, url_path string, hashes array<long>, sizes array<long>"
+    return _keyed(pages, key, url, html).select("page_key", "url", "html").mapInArrow(lambda b: in_batches(b, piece), schema)
 
 
 def _keyed(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
@@ -266,8 +297,12 @@ def _keyed(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
 
 
 def shared_with_neighbour(lines: DataFrame) -> DataFrame:
-    """(page_key, gone): the numbers of the lines to delete, for pages that lose any."""
-    ranked = numbered(lines, ["url_host", "url_path", "page_key"])
+    """(page_key, gone, n_rows): the numbers of the lines to delete, for pages that lose any, pinned."""
+    lines = stored(lines, "page-lines")
+    layouts = lines.groupBy("layout").agg(
+        F.min("url_path").alias("url_path"), *[F.first(c).alias(c) for c in ("url_host", "hashes", "sizes")], F.count(F.lit(1)).alias("n_pages")
+    )
+    ranked = numbered(layouts, ["url_host", "url_path", "layout"])
     place = F.col("rank") % GROUP
     group = F.floor(F.col("rank") / GROUP)
     homes = F.when(place == 0, F.array(group, group - 1)).when(place == GROUP - 1, F.array(group, group + 1)).otherwise(F.array(group))
@@ -275,32 +310,29 @@ def shared_with_neighbour(lines: DataFrame) -> DataFrame:
 
     def compare(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: r["rank"])
-        pages = [(r["url_host"], r["url_path"], r["hashes"], r["sizes"]) for r in rows]
-        keys, gone = [], []
-        for i, r in enumerate(rows):
-            if r["home"] == key[0].as_py():
-                lost = deletions(pages[i], [pages[j] for j in (i - 1, i + 1) if 0 <= j < len(pages)])
-                if lost:
-                    keys.append(r["page_key"])
-                    gone.append(lost)
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(gone, pa.list_(pa.int32()))], names=["page_key", "gone"])
+        lost = deletions([(r["url_host"], r["url_path"], r["hashes"], r["sizes"]) for r in rows])
+        own = [(r["layout"], gone, r["n_pages"]) for r, gone in zip(rows, lost) if gone and r["home"] == key[0].as_py()]
+        columns = list(zip(*own)) or [[]] * 3
+        types = pa.string(), pa.list_(pa.int32()), pa.int64()
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["layout", "gone", "n_pages"])
 
-    return dealt.groupBy("grp").applyInArrow(compare, "page_key string, gone array<int>")
+    found = pin(dealt.groupBy("grp").applyInArrow(compare, "layout string, gone array<int>, n_pages long"))
+    pages = lines.groupBy("page_key", "layout").agg(F.count(F.lit(1)).alias("n_rows"))
+    return pin(attach(pages, found, "layout", "n_pages").filter("gone IS NOT NULL").select("page_key", "gone", "n_rows"))
 
 
 def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """(page_id, url, text, n_chars, n_shared) for every row."""
+    """(page_id, url, text, n_chars, n_shared, n_decided) for every row; ``n_decided`` counts characters that differencing has taken away."""
     shared = shared_with_neighbour(page_lines(pages, key, url, html))
-    joined = _keyed(pages, key, url, html).join(shared, "page_key", "left")
+    joined = attach(_keyed(pages, key, url, html), shared, "page_key", "n_rows")
 
     def piece(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        texts, counts = [], []
+        texts, counts, decided = [], [], []
         for page, gone in zip(batch.column("html").to_pylist(), batch.column("gone").to_pylist()):
-            lost = set(gone or ())
-            left = [(x, place) for i, (x, place) in enumerate(lines_of(page)) if place and (place == 3 or i not in lost)]
-            top = max((place for _, place in left), default=0)
-            texts.append("\n".join(x for x, place in left if place == top))
+            lost, lines = set(gone or ()), lines_of(page)
+            texts.append(text_of(lines, lost))
             counts.append(len(lost))
+            decided.append(max(0, len(text_of(lines, set())) - len(texts[-1])) if lost else 0)
         yield pa.RecordBatch.from_pydict(
             {
                 "page_id": batch.column("page_id"),
@@ -308,8 +340,9 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
                 "text": pa.array(texts, pa.string()),
                 "n_chars": pa.array([len(t) for t in texts], pa.int64()),
                 "n_shared": pa.array(counts, pa.int32()),
+                "n_decided": pa.array(decided, pa.int64()),
             }
         )
 
-    schema = "page_id long, url string, text string, n_chars long, n_shared int"
+    schema = "page_id long, url string, text string, n_chars long, n_shared int, n_decided long"
     return joined.select("page_id", "url", "html", "gone").mapInArrow(lambda b: in_batches(b, piece), schema)
