@@ -13,7 +13,8 @@ Labels are learnt from at most ``MAX_LABELLED`` labelled rows (chosen by a hash
 which bounds the model; scoring covers every whole text.
 
 Defined cases: NULL, empty and word-free texts have no evidence (0) and get the curve's value
-there; NULL ids are scored but never learnt from; repeated labels count once, and toxic if any
+there; very long texts and runs of letters are scored whole; other columns are not looked at,
+whatever their names; NULL ids are scored but never learnt from; repeated labels count once, and toxic if any
 is; without rows of both classes every score is 0; an empty table gives an empty result.
 """
 
@@ -39,29 +40,33 @@ TOXIC_SHARE = 0.05
 #: Labelled rows the models may be fitted on; the model's size is bounded by it.
 MAX_LABELLED = 40_000
 TOKEN = re.compile(r"[^\W\d_]+")
-#: Characters of a run of letters that are scored as one expression; longer runs are scored in pieces of this length.
-PIECE = 40
+#: Characters taken at once; longer runs of letters go in slices that overlap by a context, with the same result.
+SLICE = 4_096
+#: Words of up to this many characters are remembered.
+SHORT = 64
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int, evidence double"
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
 def expressions(text: str | None) -> list[str]:
     """Runs of letters in lower case."""
-    if not text:
-        return []
-    words = TOKEN.findall(text.lower())
-    if max(map(len, words), default=0) > PIECE:
-        words = [w[i : i + PIECE] for w in words for i in range(0, len(w), PIECE)]
-    return words
+    return TOKEN.findall(text.lower()) if text else []
 
 
-def _codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """All characters in a row, each word opened by \\x02 and closed by \\x03; per character its place in the word."""
-    joined = "".join(f"\x02{w}\x03" for w in words)
-    codes = np.frombuffer(joined.encode("utf-32-le"), "<u4").astype(np.uint64)
-    starts = np.flatnonzero(codes == 2)
-    place = np.arange(len(codes)) - np.repeat(starts, np.diff(np.append(starts, len(codes))))
-    return codes, place
+def slices(word: str) -> Iterator[tuple[str, int]]:
+    """(part, starts) of a word opened by \\x02 and closed by \\x03: every n-gram of the word starts among the
+    first ``starts`` characters of one part, which holds it whole."""
+    marked = f"\x02{word}\x03"
+    for at in range(0, len(marked), SLICE):
+        yield marked[at : at + SLICE + ORDER - 1], min(SLICE, len(marked) - at)
+
+
+def _codes(words: list[str], whole: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """All characters in a row, each word opened by \\x02 and closed by \\x03 if they are ``whole``; per character its place in the word."""
+    parts = [f"\x02{w}\x03" for w in words] if whole else words
+    codes = np.frombuffer("".join(parts).encode("utf-32-le"), "<u4").astype(np.uint64)
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+    return codes, np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
 def _hashes(codes: np.ndarray, place: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -84,7 +89,23 @@ class Model:
 
     def log_ratio(self, words: list[str]) -> np.ndarray:
         """log P(word | toxic) - log P(word | ordinary) for each word, the toxic side mixed with the ordinary one."""
-        codes, place = _codes(words)
+        short = [w for w in words if len(w) < SLICE]
+        likely = dict(zip(short, self._sums([f"\x02{w}\x03" for w in short]).tolist()))
+        for w in words:
+            if w not in likely:
+                marked, total = f"\x02{w}\x03", 0.0
+                for at in range(0, len(marked), SLICE):
+                    given = min(at, ORDER - 1)  # characters that are context only
+                    total += float(self._sums([marked[at - given : at + SLICE]], max(1, given))[0])
+                likely[w] = total
+        word = np.array([likely[w] for w in words])
+        return np.logaddexp(np.log1p(-TOXIC_SHARE), np.log(TOXIC_SHARE) + word)
+
+    def _sums(self, parts: list[str], given: int = 1) -> np.ndarray:
+        """Per part the log ratio of its characters after the first ``given`` ones."""
+        if not parts:
+            return np.zeros(0)
+        codes, place = _codes(parts, whole=False)
         prob = np.full((len(codes), 2), 1.0 / self.alphabet)
         for order, ((keys, value), (ctx, back)) in enumerate(zip(self.grams, self.contexts), 1):
             at, h = _hashes(codes, place, order)
@@ -97,9 +118,8 @@ class Model:
                 weight = _look(ctx, back, hc, 1.0)
             prob[at] = _look(keys, value, h, 0.0) + weight * prob[at]
         ratio = np.log(prob[:, 0]) - np.log(prob[:, 1])
-        ratio[place == 0] = 0.0
-        word = np.add.reduceat(ratio, np.flatnonzero(place == 0))
-        return np.logaddexp(np.log1p(-TOXIC_SHARE), np.log(TOXIC_SHARE) + word)
+        ratio[place < given] = 0.0
+        return np.add.reduceat(ratio, np.flatnonzero(place == 0))
 
 
 def _look(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, missing: float) -> np.ndarray:
@@ -140,24 +160,22 @@ def gram_counts(rows: DataFrame) -> DataFrame:
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
                 for w in expressions(text):
                     seen.setdefault(w, [0, 0])[1 - toxic] += 1
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "word": pa.array(list(seen), pa.string()),
-                    "toxic": pa.array([v[0] for v in seen.values()], pa.int64()),
-                    "ordinary": pa.array([v[1] for v in seen.values()], pa.int64()),
-                }
+            cut = [(part, starts, *n) for w, n in seen.items() for part, starts in slices(w)]
+            columns = list(zip(*cut)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.int64(), pa.int64()))],
+                names=["part", "starts", "toxic", "ordinary"],
             )
 
         yield from in_batches(batches, piece, 1 << 20)
 
-    counted = rows.select("text", "toxic").mapInArrow(words, "word string, toxic long, ordinary long")
-    counted = counted.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
-    marked = F.concat(F.lit("\x02"), F.col("word"), F.lit("\x03"))
+    counted = rows.select("text", "toxic").mapInArrow(words, "part string, starts int, toxic long, ordinary long")
+    counted = counted.groupBy("part", "starts").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
     grams = F.flatten(
         F.transform(
             F.sequence(F.lit(1), F.lit(ORDER)),
             lambda k: F.filter(
-                F.transform(F.sequence(F.lit(1), F.length(marked)), lambda i: F.substring(marked, i, k)),
+                F.transform(F.sequence(F.lit(1), F.col("starts")), lambda i: F.substring("part", i, k)),
                 lambda g: F.length(g) == k,
             ),
         )
@@ -242,7 +260,11 @@ class Evidence:
             part = fresh[start : start + 50_000]
             self.known.update(zip(part, self.model.log_ratio(part).tolist()))
         get = self.known.__getitem__
-        return np.array([sum(map(get, ws)) / len(ws) if ws else 0.0 for ws in split])
+        out = np.array([sum(map(get, ws)) / len(ws) if ws else 0.0 for ws in split])
+        for w in fresh:
+            if len(w) > SHORT:
+                del self.known[w]
+        return out
 
 
 def evidence_of(rows: DataFrame, shared, keep: list[str]) -> DataFrame:

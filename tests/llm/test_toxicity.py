@@ -82,3 +82,28 @@ def step(model, word, closing):
             weight = T._look(ctx, back, hc[np.searchsorted(before, at - 1)], 1.0)
         prob[at] = T._look(keys, value, h, 0.0) + weight * prob[at]
     return prob[at_wanted]
+
+
+def test_long_runs_of_letters_are_scored_and_counted_whole(spark, monkeypatch):
+    rng = random.Random(5)
+    run = "".join(rng.choice("abcdéßx") for _ in range(9_001))
+    docs = [(f"{run} vilhate", 1, 0), (run[100:400], 0, 0), ("ra ti on", 0, 0), ("", 0, 0), (None, 1, 0)]
+    rows = spark.createDataFrame(docs, "text string, toxic int, fold int")
+    whole = T.fit(rows)
+    expected = {}
+    for text, toxic, _ in docs:
+        for w in T.expressions(text):
+            for k in range(1, T.ORDER + 1):
+                marked = f"\x02{w}\x03"
+                for i in range(len(marked) - k + 1):
+                    expected.setdefault(marked[i : i + k], [0, 0])[1 - toxic] += 1
+    words = [run, run[:5], "vilhate", run[7:5_000], run]
+    counted = {r["gram"]: [r["toxic"], r["ordinary"]] for r in T.gram_counts(rows).collect()}
+    assert counted == expected
+    got = whole.log_ratio(words)
+    monkeypatch.setattr(T, "SLICE", 100_000)
+    want = whole.log_ratio(words)
+    assert got == pytest.approx(want, abs=1e-9)
+    held = T.Evidence(whole)
+    assert held.of([run, f"{run} ra"])[0] == pytest.approx(want[0], abs=1e-9)
+    assert set(held.known) == {"ra"}
