@@ -96,13 +96,24 @@ def release_memory(keeps: str | None = None) -> None:
     if _memory and keeps not in _memory:
         _memory.clear()
         gc.collect()
+    large_blocks_apart()
     pa.default_memory_pool().release_unused()
     if _trim is not None:
         _trim(0)
 
 
+_libc = ctypes.CDLL(None)
 #: Returns free heap pages; only some C libraries have it.
-_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+_trim = getattr(_libc, "malloc_trim", None)
+#: Number of a setting of the C library (fixed value): from which size a block is mapped by itself, so that it goes back when it is freed.
+_MMAP_THRESHOLD = -3
+
+
+def large_blocks_apart(limit_bytes: int = 8 << 20) -> None:
+    """Without a fixed threshold the C library raises it with every freed array, and later ones stay in its heap."""
+    if hasattr(_libc, "mallopt"):
+        _libc.mallopt(_MMAP_THRESHOLD, limit_bytes)
+    pa.set_memory_pool(pa.system_memory_pool())
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
