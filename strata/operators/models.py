@@ -136,14 +136,19 @@ def split_metrics(model: Model, splits: Mapping[str, DataFrame], label: str) ->
     return metric_set(reduce(DataFrame.unionByName, scored), by="split")
 
 
-def kfold_scores(df: DataFrame, stages: Sequence, k: int, label: str, fold: str = "fold") -> DataFrame:
-    """(fold, metric, value): fit on all other folds, evaluate on the fold."""
+def kfold_predictions(df: DataFrame, stages: Sequence, k: int, label: str, fold: str = "fold") -> DataFrame:
+    """(label, fold, prediction, score): every row scored by the model of all other folds."""
     scored = []
     for i in range(k):
         model = Pipeline(stages=list(stages)).fit(df.filter(F.col(fold) != i))
         held_out = df.filter(F.col(fold) == i)
         scored.append(score(model, held_out, [F.col(label).cast("int").alias("label"), fold]))
-    return metric_set(reduce(DataFrame.unionByName, scored), by=fold)
+    return reduce(DataFrame.unionByName, scored)
+
+
+def kfold_scores(df: DataFrame, stages: Sequence, k: int, label: str, fold: str = "fold") -> DataFrame:
+    """(fold, metric, value): fit on all other folds, evaluate on the fold."""
+    return metric_set(kfold_predictions(df, stages, k, label, fold), by=fold)
 
 
 def learning_curve(

@@ -12,9 +12,10 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators import evaluate, features, models, sampling
+from strata.operators import audit, evaluate, features, models, sampling
 from strata.plans import clustering, training
 from strata.plans.catalog.registry import query
+from strata.plans.catalog.sampling import RANKED_SQL
 from strata.plans.loan_view import LABEL_SOURCES, LOAN_VIEW_SQL, loan_view, table
 from strata.runtime import pin, scratch_path
 from strata.sources import load_model, save_model, write_table
@@ -129,6 +130,37 @@ def kfold_scores(spark, sf):
         folded.unpersist()
 
 
+@query(
+    RANKED_SQL
+    + """
+SELECT CAST((r - 1) * 5 // n AS INTEGER) AS fold, count(*) AS n_rows, TRUE AS in_range, TRUE AS same_area
+FROM ranked GROUP BY 1"""
+)
+def kfold_audit(spark, sf):
+    """Every row is scored once, in its own fold, and the reported area equals the one from ranks."""
+    folded = sampling.stratified_kfolds(_complete(spark, sf), ["grade", "loan_status"], 5, 42, KEY).persist()
+    try:
+        scored = pin(models.kfold_predictions(folded, _stages(models.classifier("LogisticRegression", LABEL)), 5, LABEL))
+    finally:
+        folded.unpersist()
+    reported = evaluate.roc_auc(scored, "label", "score", by="fold")
+    both = reported.join(audit.rank_auc(scored, "label", "score", by="fold"), "fold")
+    same = both.select("fold", F.coalesce(F.abs(F.col("auc") - F.col("rank_auc")) < 1e-9, F.lit(False)).alias("same_area"))
+    rows = scored.groupBy("fold").agg(F.count(F.lit(1)).alias("n_rows"), F.bool_and(F.col("score").between(0, 1)).alias("in_range"))
+    return rows.join(same, "fold")
+
+
+_ROLES = [(c, "numeric") for c in ["loan_amnt", "annual_inc", "dti"]] + [
+    (c, "categorical") for c in ["int_rate", "grade", "home_ownership", "issue_d", "earliest_cr_line"]
+]
+
+
+@query("WITH " + LOAN_VIEW_SQL + "\n" + " UNION ALL ".join(f"SELECT '{c}' AS feature, '{r}' AS role, count({c}) AS n_present FROM lv" for c, r in _ROLES))
+def feature_roles(spark, sf):
+    """What a model may learn from the loan view: neither key, label nor the label's source."""
+    return audit.feature_roles(loan_view(spark, sf), LABEL, [KEY, *LABEL_SOURCES])
+
+
 @query()
 def learning_curve(spark, sf):
     rows = _complete(spark, sf).persist()
