@@ -1,0 +1,94 @@
+"""Boosting grown by one task: Spark's trees, and no job per level."""
+
+import numpy as np
+import pytest
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from strata.operators import boosting, features, tuning
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    h = lambda k: F.pmod(F.xxhash64("id", F.lit(k)), F.lit(1000)) / 10.0
+    df = spark.range(1500).select("id", h(1).alias("x"), F.floor(h(2) / 9).cast("double").alias("y"), F.concat(F.lit("g"), F.floor(h(3) / 30)).alias("g"))
+    df = df.withColumn("label", F.when(F.col("x") + 4 * F.col("y") + 30 * (F.col("g") == "g1").cast("int") + h(4) / 4 > 90, 1).otherwise(0))
+    df = df.withColumn("weight", F.col("label") * 1.5 + 0.5).coalesce(1)
+    out = features.fit_encoder(df, ["x", "y"], ["g"]).transform(df).persist()
+    yield out
+    out.unpersist()
+
+
+def test_trees_are_those_of_spark(rows):
+    gbt = GBTClassifier(labelCol="label", weightCol="weight", maxIter=8, maxDepth=4, stepSize=0.1, seed=1)
+    assert boosting.fits_a_task(gbt, rows, 1500)
+    own, plain = boosting.fit(gbt, rows), gbt.fit(rows)
+    got = plain.transform(rows).select(F.col("rawPrediction").alias("r"), "features").select(
+        F.get(vector_to_array("r"), F.lit(1)).alias("m"), vector_to_array("features").alias("x")
+    ).toPandas()
+    assert own.weights == pytest.approx(list(plain.treeWeights))
+    assert np.abs(own.margins(np.stack(got.x), [8])[8] - got.m.to_numpy()).max() < 1e-9
+
+
+def test_a_search_of_boosting_has_no_job_per_level(rows, monkeypatch):
+    def fails(*_):
+        raise AssertionError("fitted by jobs per level")
+
+    store = tuning.FoldStore.of(rows, "label", "id", 2, 7)
+    make = lambda **chosen: GBTClassifier(labelCol="label", weightCol="weight", **chosen)
+    grid = {"maxDepth": [2, 3], "maxIter": [2, 5]}
+    monkeypatch.setattr(boosting, "TASK_VALUES", 0)
+    plain = tuning.search(store, make, grid)
+    monkeypatch.undo()
+    monkeypatch.setattr(GBTClassifier, "fit", fails)
+    found = tuning.search(store, make, grid)
+    assert found.best == plain.best
+    assert [a for _, _, areas in found.table for a in areas] == pytest.approx([a for _, _, areas in plain.table for a in areas], abs=1e-9)
+    store.release()
+
+
+def test_larger_and_other_fits_stay_with_spark(rows):
+    gbt = GBTClassifier(labelCol="label")
+    width = features.vector_width(rows)
+    most = boosting.TASK_VALUES // width
+    assert boosting.fits_a_task(gbt, rows, most) and not boosting.fits_a_task(gbt, rows, most + 1)
+    assert not boosting.fits_a_task(gbt.copy({gbt.subsamplingRate: 0.5}), rows, 10)
+
+
+@pytest.mark.parametrize("zero", [False, True])
+def test_packed_features_find_the_same_trees(zero, monkeypatch):
+    rng = np.random.default_rng(3)
+    g = rng.integers(0, 4, 4000)
+    x = np.column_stack([rng.normal(size=4000), rng.integers(0, 50, 4000), *[(g == k).astype(float) for k in range(4)]])
+    y = (x[:, 0] + (g == 2) + rng.normal(size=4000) > 0.4).astype(float)
+    w = np.where((x[:, 1] < 5) & zero, 0.0, 1.0 + y)
+    found = []
+    for most in (10_000, 1):
+        monkeypatch.setattr(boosting, "ROWS_PER_TASK", most)
+        trees, weights = boosting.boost(x, y, w, [2, 3, 4, 5], 5, 0.1, 3, 32, 1, 0.0)
+        found.append(boosting.Boosting(trees, weights, "f").margins(x, [5])[5])
+    assert np.abs(found[0] - found[1]).max() < 1e-9
+
+
+@pytest.mark.parametrize("label, weight", [(2.0, 1.0), (np.nan, 1.0), (1.0, -1.0), (1.0, np.nan)])
+def test_rows_that_no_boosting_takes(label, weight):
+    with pytest.raises(ValueError, match="boosting asks for"):
+        boosting.boost(np.ones((2, 1)), np.array([0.0, label]), np.array([1.0, weight]), [], 1, 0.1, 1, 32, 1, 0.0)
+
+
+@pytest.mark.parametrize("values", [[0, 0, 0, 1, 2, 3, 4, 5, 6, 7], [5, 5, 5, 5, 5, 5, 5, 1, 2, 3], [-3, -2, 0, 0, 9, 9, 9, 9, 10, 11]])
+def test_thresholds_equal_plain_form(values):
+    values, w = np.array(values, float), np.linspace(0.5, 2, len(values))
+    distinct = sorted(set(values))
+    held = [w[values == v].sum() for v in distinct]
+    stride = w.sum() / 3
+    so_far, target, want = held[0], stride, []
+    for i in range(1, len(distinct)):
+        before, so_far = so_far, so_far + held[i]
+        if abs(before - target) < abs(so_far - target):
+            want.append((distinct[i - 1] + distinct[i]) / 2)
+            target += stride
+    assert boosting.thresholds(values, w, 2).tolist() == want
+    assert boosting.thresholds(values, w, 31).tolist() == [(a + b) / 2 for a, b in zip(distinct, distinct[1:])]
+    assert len(boosting.thresholds(np.ones(5), np.ones(5), 3)) == 0
