@@ -169,6 +169,9 @@ def correlations(df: DataFrame, cols: Sequence[str], tile: int = TILE, held_byte
             r = both / (np.sqrt(left) * np.sqrt(right))
             none = flat(left, mean_l, shift_l) | flat(right, mean_r, shift_r) | (infinite > 0) | ~np.isfinite(r)
         r = np.clip(np.where(none, 0.0, r), -1.0, 1.0)
+        if i == j:  # one value for both orders of a pair, whatever order its products were added in
+            below = np.tril_indices(len(r), -1)
+            r[below], none[below] = r.T[below], none.T[below]
         a, b = (np.array(cols[blocks[k]], object) for k in (i, j))
         a, b = np.repeat(a, len(b)), np.tile(b, len(a))
         n, r, none = n.ravel().astype(np.int64), r.ravel(), none.ravel()
